@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesengine.sinks.exports import read_array
+from seriesengine.sinks.exports import path_exists, read_array
 
 FRESH_DAYS = 7
 
@@ -20,12 +20,24 @@ def freshness(df: DataFrame, day: str, as_of: str, max_age: int = FRESH_DAYS) ->
 
 
 def readable(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The export at ``path`` has rows and every one of them parses."""
+    """The export at ``path`` is there, is closed, has rows, and all of them parse."""
+    name = F.lit("output").alias("check")
+    if not path_exists(spark, path):
+        return spark.range(1).select(name, F.lit(False).alias("passed"))
+    lines = spark.read.text(path)
     rows = read_array(spark, path, schema)
-    return rows.agg(
-        F.lit("output").alias("check"),
-        ((F.count("*") > 0) & (F.count("_corrupt_record") == 0)).alias("passed"),
+    shape = lines.agg(
+        F.count_if(F.col("value").startswith("[")).alias("opened"),
+        F.count_if(F.col("value").endswith("}]")).alias("closed"),
+        F.lit(0).alias("corrupt"),
     )
+    content = rows.agg(
+        F.lit(0).alias("opened"),
+        F.lit(0).alias("closed"),
+        F.count("_corrupt_record").alias("corrupt"),
+    )
+    sound = (F.sum("opened") == 1) & (F.sum("closed") == 1) & (F.sum("corrupt") == 0)
+    return shape.unionByName(content).agg(name, sound.alias("passed"))
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -63,6 +63,12 @@ def _move_part(spark: SparkSession, folder: str, path: str) -> None:
     fs.delete(fs_path(folder), True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+
+
 def export_array(
     df: DataFrame, order: str, path: str, single_file_rows: int = SINGLE_FILE_ROWS
 ) -> dict[str, object]:
