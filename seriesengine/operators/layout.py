@@ -19,6 +19,7 @@ from seriesengine.scratch import materialize
 
 BUCKET = "_bucket"
 CHUNK = "_chunk"
+IN_GROUP = "_in_group"
 LOCAL = "_local"
 OWNED = "_owned"
 POS = "pos"
@@ -77,6 +78,15 @@ def running_to(spec: WindowSpec) -> WindowSpec:
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def numbered_in_group(keys: Sequence[str], group: str, counted: str, *order: str) -> dict[str, Column]:
+    """Columns that number the non-null ``counted`` rows inside (series, group)."""
+    whole = Window.partitionBy(*keys, group)
+    return {
+        LOCAL: F.count(counted).over(running_to(whole.orderBy(*order))),
+        IN_GROUP: F.count(counted).over(whole),
+    }
+
+
 def store_numbered(
     rows: DataFrame,
     keys: tuple[str, ...],
@@ -87,37 +97,46 @@ def store_numbered(
 ) -> Series:
     """Write rows that are numbered within (series, group) and number the series.
 
-    ``rows`` has ``_local``, the running count of the rows to number inside its
-    group. It is written once. A small table with one row per (series, group) is
-    then derived from it: how many rows earlier groups hold, the series' length,
-    and for each ``carry`` column the last non-null value of earlier groups, as
-    the mapped name. Spark broadcasts that table or merges it, by its file size.
+    ``rows`` has the columns of ``numbered_in_group``. For each ``carry`` column
+    the result has, under the mapped name, its last non-null value in earlier
+    groups of the series.
+
+    The write tells whether all rows lie in one group, as those of common daily
+    series do; then their numbers are final. Otherwise a small table with one
+    row per (series, group) gives how many rows came earlier, and the rows are
+    written again with it, so that no later reader repeats the join.
     """
     carry = carry or {}
-    stored, _ = materialize(rows, name)
-    in_group = Window.partitionBy(*keys).orderBy(group)
-    earlier = running_before(in_group)
-    last_values = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(DATE))).alias(c) for c in carry
-    ]
-    per_group = stored.groupBy(*keys, group).agg(F.max(LOCAL).alias("_in_group"), *last_values)
-    totals, seen = materialize(
-        per_group.select(
+    stored, seen = materialize(
+        rows, name, first=F.min(group), last=F.max(group), longest=F.max(IN_GROUP)
+    )
+    if seen.get("first") == seen.get("last"):
+        frame = stored.withColumns(
+            {POS: F.col(LOCAL) - 1, ROWS: F.col(IN_GROUP)}
+            | {to: F.lit(None).cast(stored.schema[c].dataType) for c, to in carry.items()}
+        )
+        longest = seen.get("longest")
+    else:
+        in_series = Window.partitionBy(*keys)
+        earlier = running_before(in_series.orderBy(group))
+        last_values = [
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col(DATE))).alias(c) for c in carry
+        ]
+        per_group = stored.groupBy(*keys, group).agg(
+            F.max(IN_GROUP).alias(IN_GROUP), *last_values
+        )
+        totals = per_group.select(
             *keys,
             group,
-            F.coalesce(F.sum("_in_group").over(earlier), F.lit(0)).alias("_offset"),
-            F.sum("_in_group").over(Window.partitionBy(*keys)).alias(ROWS),
-            *[F.last(c, ignorenulls=True).over(earlier).alias(carry[c]) for c in carry],
-        ),
-        f"{name}-groups",
-        max_rows=F.max(ROWS),
-    )
-    frame = (
-        stored.join(totals, [*keys, group])
-        .withColumn(POS, F.col("_offset") + F.col(LOCAL) - 1)
-        .drop("_offset", LOCAL, group)
-    )
-    return Series(frame, keys, int(seen.get("max_rows") or 0), layout)
+            F.coalesce(F.sum(IN_GROUP).over(earlier), F.lit(0)).alias("_offset"),
+            F.sum(IN_GROUP).over(in_series).alias(ROWS),
+            *[F.last(c, ignorenulls=True).over(earlier).alias(to) for c, to in carry.items()],
+        )
+        numbered = stored.drop(IN_GROUP).join(totals, [*keys, group])
+        numbered = numbered.withColumn(POS, F.col("_offset") + F.col(LOCAL) - 1).drop("_offset")
+        frame, seen = materialize(numbered, f"{name}-numbered", longest=F.max(ROWS))
+        longest = seen.get("longest")
+    return Series(frame.drop(LOCAL, IN_GROUP, group), keys, int(longest or 0), layout)
 
 
 def index_series(df: DataFrame, keys: Sequence[str] = (), layout: Layout | None = None) -> Series:
@@ -128,12 +147,10 @@ def index_series(df: DataFrame, keys: Sequence[str] = (), layout: Layout | None
     """
     layout = layout or Layout()
     keyed, names = with_keys(df, keys)
-    in_bucket = Window.partitionBy(*names, BUCKET).orderBy(DATE)
-    rows = (
-        keyed.filter(F.col(DATE).isNotNull())
-        .withColumn(BUCKET, calendar_bucket(F.col(DATE), layout))
-        .withColumn(LOCAL, F.row_number().over(in_bucket).cast("bigint"))
+    rows = keyed.filter(F.col(DATE).isNotNull()).withColumn(
+        BUCKET, calendar_bucket(F.col(DATE), layout)
     )
+    rows = rows.withColumns(numbered_in_group(names, BUCKET, DATE, DATE))
     return store_numbered(rows, names, BUCKET, layout, "series")
 
 

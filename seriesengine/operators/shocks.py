@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from seriesengine.functions.numeric import ratio_change_pct
 from seriesengine.operators.layout import (
     CHUNK,
-    LOCAL,
     OWNED,
+    POS,
     Series,
     chunk_window,
+    numbered_in_group,
     public,
     store_numbered,
     with_halo,
@@ -23,8 +24,7 @@ CHANGE = "pct_change_28d"
 
 
 def rises(series: Series, rules: ShockRules) -> DataFrame:
-    """Rows whose slow price is above the one ``window`` rows earlier, numbered
-    within their chunk."""
+    """Rows whose slow price is above the one ``window`` rows earlier."""
     earlier = F.lag(SLOW, rules.window).over(chunk_window(series.keys))
     return (
         with_halo(series, before=rules.window)
@@ -32,19 +32,17 @@ def rises(series: Series, rules: ShockRules) -> DataFrame:
         .filter(OWNED)
         .withColumn(CHANGE, ratio_change_pct(F.col(SLOW), F.col(START)))
         .filter(F.col(CHANGE) > 0)
-        .select(
-            *series.keys,
-            CHUNK,
-            DATE,
-            FAST,
-            SLOW,
-            START,
-            CHANGE,
-            F.row_number().over(chunk_window(series.keys)).cast("bigint").alias(LOCAL),
-        )
+        .select(*series.keys, CHUNK, POS, DATE, FAST, SLOW, START, CHANGE)
     )
 
 
+def numbered_rises(series: Series, rules: ShockRules) -> Series:
+    """Rises, stored with their position among the rises of their series."""
+    numbers = numbered_in_group(series.keys, CHUNK, CHANGE, POS)
+    rows = rises(series, rules).withColumns(numbers).drop(POS)
+    return store_numbered(rows, series.keys, CHUNK, series.layout, "rises")
+
+
 def local_peaks(rising: Series, rules: ShockRules) -> DataFrame:
     """Rises that no rise within the suppression rows exceeds.
 
@@ -69,8 +67,7 @@ def shock_ranking(series: Series, rules: ShockRules | None = None) -> DataFrame:
     """
     rules = rules or ShockRules()
     keys = list(series.keys)
-    rising = store_numbered(rises(series, rules), series.keys, CHUNK, series.layout, "rises")
-
+    rising = numbered_rises(series, rules)
     first_of_value = (
         local_peaks(rising, rules)
         .groupBy(*keys, CHANGE)

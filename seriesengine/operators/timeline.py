@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from seriesengine.operators.layout import (
     BUCKET,
-    LOCAL,
     POS,
     ROWS,
     Series,
     calendar_bucket,
+    numbered_in_group,
     public,
     running_to,
     store_numbered,
@@ -61,14 +61,15 @@ def timeline_series(
 ) -> Series:
     """``price_timeline`` with positions, stored for the operators that follow.
 
-    Reports are filled forward inside calendar buckets; the small bucket table
-    carries the latest report, and the row count, into each bucket. The inputs
-    are read once and their rows shuffled once.
+    Reports are filled forward inside calendar buckets. Where a series spans
+    several, the latest report and the row count are carried into each. The
+    inputs are read once.
     """
     layout = layout or Layout()
     fast, names = with_keys(fast, keys)
     slow, _ = with_keys(slow, keys)
     so_far = running_to(Window.partitionBy(*names, BUCKET).orderBy(DATE, "_side"))
+    numbers = numbered_in_group(names, BUCKET, FAST, DATE, "_side")
     filled = (
         _both_sides(fast, slow, names)
         .withColumn(BUCKET, calendar_bucket(F.col(DATE), layout))
@@ -79,7 +80,7 @@ def timeline_series(
             FAST,
             F.last("_report", ignorenulls=True).over(so_far).alias("_fill"),
             F.last("_report_date", ignorenulls=True).over(so_far).alias("_fill_date"),
-            F.count(FAST).over(so_far).alias(LOCAL),
+            *[c.alias(n) for n, c in numbers.items()],
         )
     )
     numbered = store_numbered(
@@ -107,8 +108,8 @@ def price_timeline(
     """One row per fast date with the latest slow report at or before it.
 
     ``fast`` has ``date`` and ``price_usd_bbl``, ``slow`` has ``week_ending`` and
-    ``price_usd_gal``; both may carry the same ``keys``. Fast dates before the
-    first report keep a null slow price.
+    ``price_usd_gal``, one row per date; both may carry the same ``keys``. Fast
+    dates before the first report keep a null slow price.
     """
     return timeline_table(timeline_series(fast, slow, keys, layout))
 

@@ -56,17 +56,17 @@ class StatusRules:
 class Layout:
     """How one series is cut so that no task ever holds a whole long series.
 
-    ``bucket_days``: calendar width of a bucket. A series has one row per date,
-    so a (series, bucket) group holds at most ``bucket_days`` rows, and the
-    per-bucket summary of a series at most 3,652,059 / ``bucket_days`` rows
-    (the DATE type ends at year 9999).
+    ``bucket_days``: calendar width of a bucket, counted from 1970. A series has
+    one row per date, so a (series, bucket) group holds at most ``bucket_days``
+    rows of either side. Dates from 1970 to 2059 share one bucket; the summary of
+    a series over all dates to year 9999 has some hundred buckets.
 
     ``chunk_rows``: rows of a positional chunk; must exceed the widest frame.
     ``value_splits``: value blocks per node of the cross-chunk rank tree.
     """
 
-    bucket_days: int = 1024
-    chunk_rows: int = 8192
+    bucket_days: int = 32768
+    chunk_rows: int = 16384
     value_splits: int = 64
 
 

@@ -6,6 +6,8 @@ executor costs a re-read and not a re-run of the plan behind the table.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,6 +29,7 @@ def scratch_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="seriesengine-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 

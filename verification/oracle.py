@@ -317,6 +317,16 @@ ORACLE: dict[str, str] = {
     "shock_ranking": _shocks(),
     "shock_ranking_by_priority": _shocks(PRIORITY),
     "shock_ranking_by_supplier": _shocks(SUPPLIER),
+    "rises": _over(
+        (),
+        _SHOCKS,
+        f"{_day('date')} AS date, start_price AS diesel_start_usd_gal, "
+        "slow AS diesel_usd_gal, pct AS pct_change_28d",
+        "rising",
+    ),
+    "local_peaks": _over(
+        (), _SHOCKS, f"{_day('date')} AS date, pct AS pct_change_28d", "rising WHERE pct = peak"
+    ),
     "shock_preview": _shocks(rows=5),
     "latest_per_key": """
 SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value AS value
@@ -328,6 +338,22 @@ WITH newest AS (
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1)
 SELECT account, kind, amount AS amount FROM newest
 WHERE amount IS NOT NULL AND NOT isnan(amount) AND amount > 0""",
+    "clean_daily": f"""
+WITH landed AS (
+  SELECT {_day('l_shipdate')} AS date, l_extendedprice AS open_usd_bbl,
+    l_extendedprice * (1 + l_tax) AS high_usd_bbl,
+    l_extendedprice * (1 - l_discount) AS low_usd_bbl,
+    l_extendedprice * (1 - l_discount) * (1 + l_tax) AS price_usd_bbl,
+    CAST(l_quantity AS BIGINT) AS volume
+  FROM lineitem),
+newest AS (
+  SELECT * FROM landed
+  QUALIFY row_number() OVER (PARTITION BY date ORDER BY
+    price_usd_bbl, open_usd_bbl, high_usd_bbl, low_usd_bbl, volume) = 1)
+SELECT * FROM newest WHERE price_usd_bbl > 0""",
+    "clean_weekly": f"""
+SELECT {_day('ts')} AS week_ending, min(value) AS price_usd_gal FROM events
+GROUP BY ALL HAVING min(value) > 0""",
     "ingest_daily_batch": f"""
 SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, l_extendedprice AS open,
   l_extendedprice * (1 + l_tax) AS high,
@@ -361,6 +387,7 @@ UNION ALL
 SELECT 'events', count(*), {_day('min(ts)')}, {_day('max(ts)')} FROM events""",
     "rolling_volatility": _volatility(),
     "rolling_volatility_by_supplier": _volatility(SUPPLIER),
+    "momentum": _over((), _FEATURES, f"{_day('date')} AS date, mom AS momentum", "feat"),
     "rolling_percentile_5y": _over(
         (), _REGIMES, f"{_day('date')} AS date, price_pct AS price_pct", "daily"
     ),

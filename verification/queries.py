@@ -20,7 +20,8 @@ from seriesengine.operators import (
     status,
     timeline,
 )
-from seriesengine.operators.layout import Series
+from seriesengine.operators.layout import Series, public
+from seriesengine.params import ShockRules
 from seriesengine.scratch import materialize, new_path
 from seriesengine.sinks import exports
 from seriesengine.sources import catalog, landing, paired
@@ -86,6 +87,20 @@ def expanding_rank(s: Series) -> DataFrame:
     return regime.regime_daily(s).select("date", "volatility_rank")
 
 
+def momentum(s: Series) -> DataFrame:
+    return public(regime.features(s), s.keys).select("date", regime.MOMENTUM)
+
+
+def rises(s: Series) -> DataFrame:
+    columns = ["date", shocks.START, "diesel_usd_gal", shocks.CHANGE]
+    return shocks.rises(s, ShockRules()).select(*columns)
+
+
+def local_peaks(s: Series) -> DataFrame:
+    rules = ShockRules()
+    return shocks.local_peaks(shocks.numbered_rises(s, rules), rules).select("date", shocks.CHANGE)
+
+
 def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("user_id", "event_type", "ts", "value")
     return comparable(cleanse.latest_per_key(events, ["user_id", "event_type"], "ts"))
@@ -105,7 +120,7 @@ def cleansed_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ingest_daily_batch(spark: SparkSession, folder: str) -> DataFrame:
+def _daily_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Land all order lines as a daily CSV batch, then ingest it."""
     price, discount, tax = (F.col(c) for c in ("l_extendedprice", "l_discount", "l_tax"))
     landed = table(spark, folder, "lineitem").select(
@@ -121,7 +136,16 @@ def ingest_daily_batch(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = new_path(spark, "daily-landing")
     landed.write.option("header", True).csv(path)
-    return comparable(landing.daily_batch(landing.read_daily_landing(spark, path), BATCH))
+    return landing.daily_batch(landing.read_daily_landing(spark, path), BATCH)
+
+
+def ingest_daily_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_daily_raw(spark, folder))
+
+
+def clean_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Many rows per date in one batch, reduced to one."""
+    return comparable(cleanse.clean_daily(_daily_raw(spark, folder)))
 
 
 def _event_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,6 +177,11 @@ def ingest_api_pages(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(landing.weekly_batch(pages, BATCH, product=None, area=None))
 
 
+def clean_weekly(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _event_pages(spark, folder)
+    return comparable(cleanse.clean_weekly(landing.weekly_batch(pages, BATCH, None, None)))
+
+
 def select_series(spark: SparkSession, folder: str) -> DataFrame:
     pages = _event_pages(spark, folder)
     batch = landing.weekly_batch(pages, BATCH, product="purchase", area="NUS")
@@ -286,9 +315,13 @@ QUERIES: dict[str, Query] = {
     "shock_ranking": on_series(shocks.shock_ranking),
     "shock_ranking_by_priority": on_series(shocks.shock_ranking, PRIORITY),
     "shock_ranking_by_supplier": on_series(shocks.shock_ranking, SUPPLIER),
+    "rises": on_series(rises),
+    "local_peaks": on_series(local_peaks),
     "shock_preview": on_series(lambda s: exports.preview(shocks.shock_ranking(s))),
     "latest_per_key": latest_per_key,
     "cleansed_events": cleansed_events,
+    "clean_daily": clean_daily,
+    "clean_weekly": clean_weekly,
     "ingest_daily_batch": ingest_daily_batch,
     "ingest_api_pages": ingest_api_pages,
     "select_series": select_series,
@@ -297,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "table_summary": table_summary,
     "rolling_volatility": on_series(regime.rolling_volatility),
     "rolling_volatility_by_supplier": on_series(regime.rolling_volatility, SUPPLIER),
+    "momentum": on_series(momentum),
     "rolling_percentile_5y": on_series(rolling_percentile),
     "expanding_vol_rank": on_series(expanding_rank),
     "regime_daily": on_series(regime.regime_daily),
