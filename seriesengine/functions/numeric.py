@@ -52,8 +52,27 @@ def zscore(value: Column, mean: Column, std: Column) -> Column:
 
 
 def round_even(value: Column, digits: int) -> Column:
-    """Round half to even. ``round`` of Spark goes half up."""
-    return F.bround(value, digits)
+    """Nearest decimal with ``digits`` places; a tie goes to the even digit.
+
+    What counts is the exact binary value, as in Python's ``round``. ``bround``
+    looks at the shortest decimal text instead and sees a tie in 2.675, which is
+    below it. The scaled value is rounded, and its own rounding error, which two
+    half-width products give exactly, decides where it shows a tie.
+    """
+    scale = float(10**digits)
+    scaled = value * scale
+    split = value * float(2**27 + 1)
+    high = split - (split - value)
+    error = (high * scale - scaled) + (value - high) * scale
+    whole = F.rint(scaled)
+    rest = scaled - whole
+    step = (
+        F.when((rest == 0.5) & (error > 0), F.lit(1.0))
+        .when((rest == -0.5) & (error < 0), F.lit(-1.0))
+        .otherwise(F.lit(0.0))
+    )
+    exact = F.abs(value) < 2.0**52 / scale
+    return F.when(exact, (whole + step) / scale).otherwise(F.bround(value, digits))
 
 
 def fixed_text(value: Column, digits: int) -> Column:

@@ -1,7 +1,7 @@
 """The same queries in SQL, for an independent engine on the same tables.
 
 The SQL follows the definitions directly: global windows, self-joins on row
-numbers, as-of joins. Rounding of results is for comparison only.
+numbers, as-of joins. ``printf`` rounds the exact binary value half to even.
 """
 
 from __future__ import annotations
@@ -151,13 +151,13 @@ state AS (
   FROM counted),
 kpis AS (
   SELECT *, strftime(as_of, '%Y-%m-%d') AS as_of_date,
-    round_even(price, 3) AS current_price_usd_gal, round_even(week_change, 2) AS delta_1w_pct,
-    round_even(year_change, 1) AS delta_yoy_pct, round_even(pct_all, 1) AS percentile_25y,
-    round_even(pct_rolling, 1) AS percentile_5y,
-    printf('%.2f', round_even(price, 2)) AS headline_price,
-    printf('%.1f', round_even(pct_all, 1)) AS headline_pct,
-    CASE WHEN year_change < 0 AND round_even(year_change, 0) = 0 THEN '-0'
-         ELSE printf('%+.0f', round_even(year_change, 0)) END AS headline_yoy,
+    CAST(printf('%.3f', price) AS DOUBLE) AS current_price_usd_gal,
+    CAST(printf('%.2f', week_change) AS DOUBLE) AS delta_1w_pct,
+    CAST(printf('%.1f', year_change) AS DOUBLE) AS delta_yoy_pct, CAST(printf('%.1f', pct_all) AS DOUBLE) AS percentile_25y,
+    CAST(printf('%.1f', pct_rolling) AS DOUBLE) AS percentile_5y,
+    printf('%.2f', price) AS headline_price,
+    printf('%.1f', pct_all) AS headline_pct,
+    printf('%+.0f', year_change) AS headline_yoy,
     CASE WHEN regime = 'extreme' AND vol_rank > 90 THEN 'extreme_volatility'
          WHEN regime = 'extreme' AND pct_all > 95 THEN 'extreme_high'
          WHEN regime = 'extreme' THEN 'extreme_general'
@@ -179,8 +179,8 @@ nearest AS (
   SELECT * FROM distances WHERE dist IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY k ORDER BY dist, date) = 1),
 analogue AS (
-  SELECT k, strftime(date, '%Y-%m-%d') AS week, round_even(slow, 3) AS price_then,
-    round_even(1 / (1 + dist), 3) AS similarity_score,
+  SELECT k, strftime(date, '%Y-%m-%d') AS week, CAST(printf('%.3f', slow) AS DOUBLE) AS price_then,
+    CAST(printf('%.3f', 1 / (1 + dist)) AS DOUBLE) AS similarity_score,
     CASE WHEN year(date) = 2008 THEN 'analogue_2008_crisis'
          WHEN year(date) = 2005 THEN 'analogue_2005_katrina'
          WHEN date BETWEEN DATE '2022-02-01' AND DATE '2022-07-31' THEN 'analogue_2022_invasion'
@@ -282,7 +282,7 @@ def _sparkline(keys: tuple[str, ...] = ()) -> str:
         keys,
         _TIMELINE,
         "CAST(least(12, (n - 1) // 5 + 1) - 1 - (n - 1 - pos) // 5 AS INTEGER) AS point, "
-        "round_even(slow, 3) AS price",
+        "CAST(printf('%.3f', slow) AS DOUBLE) AS price",
         "num WHERE n >= 60 AND (n - 1 - pos) % 5 = 0 AND n - 1 - pos < 60",
     )
 
@@ -421,10 +421,10 @@ UNION ALL SELECT 'price_timeline', 'max_date', {_day('max(date)')} FROM timeline
 UNION ALL SELECT 'wti_diesel_lag', 'rows', CAST(count(*) AS VARCHAR) FROM flagged
 UNION ALL SELECT 'wti_diesel_lag', 'optimal_lag_days', CAST(lag_days AS VARCHAR) FROM best
 UNION ALL SELECT 'wti_diesel_lag', 'optimal_correlation',
-  printf('%.4f', round_even(correlation, 4)) FROM best
+  printf('%.4f', correlation) FROM best
 UNION ALL SELECT 'fuel_shocks', 'rows', CAST(count(*) AS VARCHAR) FROM shocks
 UNION ALL SELECT 'fuel_shocks', 'top_event_pct_change',
-  printf('%.2f', round_even(pct, 2)) FROM shocks WHERE rank = 1
+  printf('%.2f', pct) FROM shocks WHERE rank = 1
 UNION ALL SELECT 'fuel_shocks', 'top_event_date', {_day('date')} FROM shocks WHERE rank = 1
 UNION ALL SELECT 'diesel_status', 'as_of_date', as_of_date FROM kpis
 UNION ALL SELECT 'diesel_status', 'regime', regime FROM kpis
@@ -435,7 +435,8 @@ UNION ALL SELECT 'diesel_status', 'regime_segments', CAST(count(*) AS VARCHAR) F
     "export_status_roundtrip": f"""
 WITH {_SINGLE}{_REGIMES}{_STATUS},
 points AS (
-  SELECT round_even(min_by(slow, pos), 3) AS first_point, round_even(max_by(slow, pos), 3) AS last_point
+  SELECT CAST(printf('%.3f', min_by(slow, pos)) AS DOUBLE) AS first_point,
+         CAST(printf('%.3f', max_by(slow, pos)) AS DOUBLE) AS last_point
   FROM num WHERE (n - 1 - pos) % 5 = 0 AND n - 1 - pos < 60)
 SELECT as_of_date, current_price_usd_gal AS price, context_clause_key AS clause,
   first_point, last_point, week,
