@@ -7,10 +7,12 @@ it is a tree of window sums over (chunk, value) counts.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,10 @@ SEEN = "_seen"
 
 _TILE = 512
 
+# Ship the kernel itself, so that executors need numpy and pyarrow but not this
+# package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def count_below_rolling(values: np.ndarray, width: int, first: int = 0) -> np.ndarray:
     """For each row from ``first`` on, rows of the last ``width`` (its own

@@ -148,7 +148,7 @@ def _state(
 
 def _kpi_columns() -> list[Column]:
     return [
-        F.date_format("as_of", "yyyy-MM-dd").alias("as_of_date"),
+        F.col("as_of").cast("string").alias("as_of_date"),
         F.col("regime"),
         round_even(F.col("now_price"), 3).alias("current_price_usd_gal"),
         round_even(F.col("week_change"), 2).alias("delta_1w_pct"),
@@ -225,7 +225,7 @@ def _analogue(
     day = F.col(f"_nearest.{DATE}")
     return nearest.select(
         *keys,
-        F.date_format(day, "yyyy-MM-dd").alias("week"),
+        day.cast("string").alias("week"),
         round_even(F.col(f"_nearest.{SLOW}"), 3).alias("price_then"),
         round_even(1 / (1 + F.col("_nearest._distance")), 3).alias("similarity_score"),
         event_key(day).alias("narrative_key"),
@@ -282,8 +282,8 @@ def status_document(series: Series, rules: StatusRules | None = None) -> DataFra
         .select(
             *keys,
             F.struct(
-                F.date_format("start", "yyyy-MM-dd").alias("start"),
-                F.date_format("end", "yyyy-MM-dd").alias("end"),
+                F.col("start").cast("string").alias("start"),
+                F.col("end").cast("string").alias("end"),
                 "regime",
             ).alias("_segment"),
         )

@@ -91,8 +91,11 @@ def export_array(
 
 
 def export_document(df: DataFrame, path: str) -> None:
-    """Export a one-row frame as a single JSON document."""
-    publish_text(df.limit(1).select(json_text(df).alias("value")), path)
+    """Export a one-row frame as a single JSON document; others are refused."""
+    rows = df.count()
+    if rows != 1:
+        raise ValueError(f"a document is one row, found {rows}")
+    publish_text(df.select(json_text(df).alias("value")), path)
 
 
 def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -109,7 +112,7 @@ def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def timeline_stats(timeline: DataFrame, day: str) -> DataFrame:
-    text = [F.date_format(f(day), "yyyy-MM-dd") for f in (F.min, F.max)]
+    text = [f(day).cast("string") for f in (F.min, F.max)]
     return timeline.agg(
         F.count("*").alias("rows"), text[0].alias("min_date"), text[1].alias("max_date")
     )
@@ -129,7 +132,7 @@ def shock_stats(shocks: DataFrame) -> DataFrame:
     return shocks.agg(
         F.count("*").alias("rows"),
         round_even(F.max(F.when(top, F.col(CHANGE))), 2).alias("top_event_pct_change"),
-        F.date_format(F.max(F.when(top, F.col("peak_date"))), "yyyy-MM-dd").alias("top_event_date"),
+        F.max(F.when(top, F.col("peak_date"))).cast("string").alias("top_event_date"),
     )
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from seriesengine.sources.schemas import (
     API_PAGE,
-    API_PAGE_SIZE,
     DAILY_LANDED,
     DAILY_RAW,
     DAILY_RENAMES,

@@ -66,6 +66,11 @@ def test_document(spark, tmp_path):
     assert json.loads(Path(path).read_text()) == {"a": 1, "s": {"b": None}, "l": ["x"]}
 
 
+def test_several_rows_are_no_document(spark, tmp_path):
+    with pytest.raises(ValueError, match="found 2"):
+        exports.export_document(spark.range(2), str(tmp_path / "d.json"))
+
+
 def test_manifest(spark, tmp_path):
     stats = {"price_timeline": {"rows": 10, "max_date": "2024-12-31"}, "fuel_shocks": {"rows": 5}}
     moment = datetime(2025, 1, 1, 3, 0, tzinfo=timezone(timedelta(hours=3)))

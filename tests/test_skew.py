@@ -74,3 +74,16 @@ def test_series_over_many_years_is_numbered_through_buckets(spark):
     series = index_series(frame, layout=TINY)
     assert [r["pos"] for r in series.frame.orderBy("date").collect()] == list(range(500))
     assert series.frame.select("n_rows").distinct().first()[0] == 500
+
+
+def test_empty_series_give_empty_results(spark, layout):
+    frame = timeline_frame(spark, [1.0]).limit(0)
+    series = index_series(frame, layout=layout)
+    assert series.max_rows == 0
+    for operator in (
+        crosscorr.lag_sweep,
+        shocks.shock_ranking,
+        regime.regime_daily,
+        regime.regime_history,
+    ):
+        assert operator(series).count() == 0

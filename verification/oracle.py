@@ -153,7 +153,8 @@ kpis AS (
   SELECT *, strftime(as_of, '%Y-%m-%d') AS as_of_date,
     CAST(printf('%.3f', price) AS DOUBLE) AS current_price_usd_gal,
     CAST(printf('%.2f', week_change) AS DOUBLE) AS delta_1w_pct,
-    CAST(printf('%.1f', year_change) AS DOUBLE) AS delta_yoy_pct, CAST(printf('%.1f', pct_all) AS DOUBLE) AS percentile_25y,
+    CAST(printf('%.1f', year_change) AS DOUBLE) AS delta_yoy_pct,
+    CAST(printf('%.1f', pct_all) AS DOUBLE) AS percentile_25y,
     CAST(printf('%.1f', pct_rolling) AS DOUBLE) AS percentile_5y,
     printf('%.2f', price) AS headline_price,
     printf('%.1f', pct_all) AS headline_pct,
@@ -378,6 +379,7 @@ SELECT count(*) AS records, count(*) AS total, true AS complete FROM events""",
 SELECT event_id, value AS value, '2024-06-29' AS ingestion_date FROM events
 UNION ALL
 SELECT event_id, value + 1 AS value, '2024-06-30' AS ingestion_date FROM events""",
+    "table_overwrite": "SELECT event_id, value + 1 AS value FROM events",
     "table_summary": f"""
 SELECT 'orders' AS "table", count(*) AS "rows", {_day('min(o_orderdate)')} AS min_date,
   {_day('max(o_orderdate)')} AS max_date FROM orders

@@ -26,6 +26,7 @@ from seriesengine.scratch import materialize, new_path
 from seriesengine.sinks import exports
 from seriesengine.sources import catalog, landing, paired
 from seriesengine.sources.paired import table
+from seriesengine.sources.schemas import API_PAGE_SIZE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +50,10 @@ def comparable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         value = F.col(field.name)
         if isinstance(field.dataType, T.DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
+            value = value.cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            if isinstance(field.dataType, T.TimestampType):
+                value = F.to_utc_timestamp(value, F.current_timezone())
             value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif field.name in _ORDER_DEPENDENT:
             value = F.round(value, 6)
@@ -164,7 +167,7 @@ def _event_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("extra"),
     )
     total = events.agg(F.count("*").cast("string").alias("total")).first()["total"]
-    pages = events.groupBy(F.floor(F.col("event_id") / landing.API_PAGE_SIZE).alias("page")).agg(
+    pages = events.groupBy(F.floor(F.col("event_id") / API_PAGE_SIZE).alias("page")).agg(
         F.struct(F.lit(total).alias("total"), F.collect_list(record).alias("data")).alias("response")
     )
     path = new_path(spark, "api-landing")
@@ -204,6 +207,14 @@ def partition_replace(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(catalog.read_table(spark, path))
 
 
+def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """All events written twice; the second content replaces the first."""
+    path = new_path(spark, "overwritten")
+    events = table(spark, folder, "events").select("event_id", "value")
+    catalog.overwrite_table(events, path)
+    return catalog.overwrite_table(events.withColumn("value", F.col("value") + 1), path)
+
+
 def table_summary(spark: SparkSession, folder: str) -> DataFrame:
     days = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
     rows = [
@@ -327,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "select_series": select_series,
     "page_completeness": page_completeness,
     "partition_replace": partition_replace,
+    "table_overwrite": table_overwrite,
     "table_summary": table_summary,
     "rolling_volatility": on_series(regime.rolling_volatility),
     "rolling_volatility_by_supplier": on_series(regime.rolling_volatility, SUPPLIER),
