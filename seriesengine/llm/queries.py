@@ -6,18 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesengine.llm import packing
+from seriesengine.llm import packing, simhash
 from seriesengine.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     return packing.pack(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op10_packing": op10_packing,
 }
 
