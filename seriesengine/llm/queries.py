@@ -4,20 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesengine.llm import packing, simhash
+from seriesengine.llm import packing, pii, secrets, simhash, spans
 from seriesengine.llm.common import table
+from seriesengine.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _digest(found: Column, base: tuple[str, ...]) -> list[Column]:
+    """Counts of the base kinds, the digest of their spans, and all spans as text."""
+    counts = [
+        F.size(spans.of_kinds(found, (kind,))).cast("long").alias(f"n_{kind}") for kind in base
+    ]
+    digest = F.sha2(spans.listed(spans.of_kinds(found, base)), 256)
+    return [*counts, digest.alias("base_sha256"), spans.listed(found).alias("spans")]
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.with_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *_digest(F.col("pii"), pii.BASE))
+
+
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, through a ledger that starts empty."""
+    versions = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
+    ledger = new_path(spark, "secret-ledger")
+    secrets.scan(versions, ledger)
+    found = F.coalesce("findings", F.array().cast(spans.FOUND))
+    return secrets.findings(versions, ledger).select("doc_id", *_digest(found, secrets.BASE))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     return packing.pack(table(spark, folder, "documents"))
@@ -25,6 +51,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op3_pii": op3_pii,
+    "op7_secrets": op7_secrets,
     "op10_packing": op10_packing,
 }
 
