@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesengine.llm import packing, pii, secrets, simhash, spans
+from seriesengine.llm import mixing, packing, pii, secrets, simhash, spans
 from seriesengine.llm.common import table
 from seriesengine.scratch import new_path
 
@@ -35,6 +35,11 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *_digest(F.col("pii"), pii.BASE))
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.taken(table(spark, folder, "documents"))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document, through a ledger that starts empty."""
     versions = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
@@ -52,6 +57,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
+    "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
     "op10_packing": op10_packing,
 }
