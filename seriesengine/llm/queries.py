@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesengine.llm import mixing, packing, pii, secrets, simhash, spans
+from seriesengine.llm import fingerprints, mixing, packing, pii, secrets, simhash, spans
 from seriesengine.llm.common import table
 from seriesengine.scratch import new_path
 
@@ -49,6 +49,11 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.findings(versions, ledger).select("doc_id", *_digest(found, secrets.BASE))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.with_edited(table(spark, folder, "documents"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     return packing.pack(table(spark, folder, "documents"))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
+    "op8_fingerprints": op8_fingerprints,
     "op10_packing": op10_packing,
 }
 
