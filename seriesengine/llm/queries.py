@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesengine.llm import fingerprints, mixing, packing, pii, secrets, simhash, spans
+from seriesengine.llm import fingerprints, hmm, mixing, packing, pii, secrets, simhash, spans, toxicity
 from seriesengine.llm.common import table
 from seriesengine.scratch import new_path
 
@@ -23,6 +23,11 @@ def _digest(found: Column, base: tuple[str, ...]) -> list[Column]:
     return [*counts, digest.alias("base_sha256"), spans.listed(found).alias("spans")]
 
 
+def op1_hmm(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document by a hidden Markov model."""
+    return hmm.scores(table(spark, folder, "documents"))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -35,6 +40,11 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *_digest(F.col("pii"), pii.BASE))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.taken(table(spark, folder, "documents"))
@@ -60,8 +70,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_hmm": op1_hmm,
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
