@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesengine.llm import fingerprints, hmm, mixing, packing, pii, secrets, simhash, spans, toxicity
+from seriesengine.llm import fingerprints, hmm, mixing, neighbors, packing, pii, secrets, simhash, spans, toxicity
 from seriesengine.llm.common import table
 from seriesengine.scratch import new_path
 
@@ -45,6 +45,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_neighbors(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    return neighbors.nearest(table(spark, folder, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.taken(table(spark, folder, "documents"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op5_neighbors": op5_neighbors,
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
