@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesengine.llm import fingerprints, hmm, mixing, neighbors, packing, pii, secrets, simhash, spans, toxicity
+from seriesengine.llm import fingerprints, hmm, mixing, neighbors, packing, pii, secrets, simhash, spans, toxicity, training_order
 from seriesengine.llm.common import table
 from seriesengine.scratch import new_path
 
@@ -69,6 +69,12 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.with_edited(table(spark, folder, "documents"))
 
 
+def op9_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Slots and shard places of all documents' sequences, which are written as shards."""
+    shards = new_path(spark, "training-order")
+    return training_order.materialise(table(spark, folder, "documents"), shards)
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     return packing.pack(table(spark, folder, "documents"))
@@ -83,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
+    "op9_training_order": op9_training_order,
     "op10_packing": op10_packing,
 }
 

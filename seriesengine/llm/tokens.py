@@ -77,17 +77,35 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, without ends; a null text has none."""
-        texts = pc.fill_null(texts, "")
-        sizes = pc.utf8_length(texts).to_numpy()
-        start = 0
-        while start < len(texts):
-            stop = start + 1 + int(
-                np.searchsorted(np.cumsum(sizes[start + 1 :]), SLICE_CHARS - sizes[start])
-            )
-            yield from self._encode_slice(texts.slice(start, stop - start))
-            start = stop
-
-    def _encode_slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for part in _slices(texts):
+            index, first_word, ids, whole = self._words_of(part)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            starts = np.cumsum(sizes) - sizes
+            flat = np.frombuffer(b"".join(ids), "<u4")
+            for i in range(len(part)):
+                if whole[i]:
+                    yield np.frombuffer(self.whole(part[i].as_py()), "<u4")
+                    continue
+                own = index[first_word[i] : first_word[i + 1]]
+                size = sizes[own]
+                end = np.cumsum(size)
+                yield flat[np.arange(end[-1]) + np.repeat(starts[own] - end + size, size)]
+
+    def sizes(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        out = [np.zeros(0, np.int64)]
+        for part in _slices(texts):
+            index, first_word, ids, whole = self._words_of(part)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            own = np.add.reduceat(sizes[index], first_word[:-1])
+            for i in np.flatnonzero(whole):
+                own[i] = len(self.whole(part[int(i)].as_py())) // 4
+            out.append(own)
+        return np.concatenate(out)
+
+    def _words_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Words of the texts as places in a list of ids, the first word of each text,
+        that list, and which texts must be encoded as a whole."""
         split = pc.split_pattern(texts, " ")
         first_word = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
         words = split.flatten().dictionary_encode()
@@ -100,21 +118,22 @@ class Encoder:
         odd = np.fromiter(map(len, ids), np.int64, len(ids)) == len(_ODD)
         odd_before = np.concatenate([[0], np.cumsum(odd[index])])
         whole = odd_before[first_word[1:]] > odd_before[first_word[:-1]]
-
         leads = index[first_word[:-1]]
         index[first_word[:-1]] = len(known) + np.arange(len(texts))
         ids += [b"" if odd else self.whole(known[w]) for w, odd in zip(leads, whole, strict=True)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        for i in range(len(texts)):
-            if whole[i]:
-                yield np.frombuffer(self.whole(texts[i].as_py()), "<u4")
-                continue
-            own = index[first_word[i] : first_word[i + 1]]
-            size = sizes[own]
-            end = np.cumsum(size)
-            yield flat[np.arange(end[-1]) + np.repeat(starts[own] - end + size, size)]
+        return index, first_word, ids, whole
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Parts of a column of texts, null ones empty, of a bounded number of characters."""
+    texts = pc.fill_null(texts, "")
+    sizes = pc.utf8_length(texts).to_numpy()
+    start = 0
+    while start < len(texts):
+        room = SLICE_CHARS - sizes[start]
+        stop = start + 1 + int(np.searchsorted(np.cumsum(sizes[start + 1 :]), room))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 @lru_cache(maxsize=2)
