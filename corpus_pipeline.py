@@ -1,4 +1,9 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents, stage by stage.
+
+Each stage works on all that its predecessor kept and returns the columns of
+``documents``; the last returns places in sequences. Null texts count as empty, repeated
+rows are rows, further columns are carried along, and an empty table goes through.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +11,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesengine.llm import packing
+from seriesengine.llm import mixing, packing, pii, simhash, toxicity
 from seriesengine.llm.common import table
 from seriesengine.scratch import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half."""
+    return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of fingerprints at most 2 bits apart."""
+    return simhash.one_per_group(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 1024 ids."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", mask_personal_data),
+    ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
 
-# Several stages learn from the data or cut texts by a tokenizer, which SQL cannot state.
+# A fitted classifier, 64-bit hashes and a tokenizer, which SQL cannot state.
 ORACLE_SQL: str | None = None
 
 
