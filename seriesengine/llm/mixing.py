@@ -34,6 +34,8 @@ KEY = 20250101
 PARTS = 1024
 SLOT_RUN = 32768
 
+MAX_TASKS = 20_000
+
 ROUNDS = 16
 
 
@@ -110,12 +112,18 @@ def sources(rows: DataFrame) -> DataFrame:
 
 
 def slots(of: DataFrame, key: int = KEY) -> DataFrame:
-    """``shard, slot, source_key, block`` of the mix, one row per slot."""
+    """``shard, slot, source_key, block`` of the mix, one row per slot.
+
+    The rows that stand for runs of slots are few and small; their number of tasks is
+    set by the slots that they turn into.
+    """
+    total = of.agg(F.max("all_slots").alias("n")).first()["n"] or 0
+    tasks = max(1, min(MAX_TASKS, total // SLOT_RUN))
     last_run = F.floor((F.col("n_slots") - 1) / SLOT_RUN)
     runs = of.filter("n_slots > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)).alias("run")
     )
-    runs = runs.repartition("source_key", "run")
+    runs = runs.repartition(tasks, "source_key", "run")
     first = F.col("run") * SLOT_RUN
     numbered = runs.select(
         "*",
@@ -183,7 +191,8 @@ def pieces(rows: DataFrame, of: DataFrame, key: int = KEY) -> DataFrame:
         "row", "source_key", "block", (low - F.col("begin")).alias("first"), (high - low).alias("words")
     )
     times = slots(of, key).groupBy("source_key", "block").agg(F.count("*").alias("times"))
-    return cut.join(times, ["source_key", "block"]).select("row", "first", "words", "times")
+    # Both sides grow with the words, which the sizes of what they are made from hide.
+    return cut.join(times.hint("merge"), ["source_key", "block"]).select("row", "first", "words", "times")
 
 
 def taken(docs: DataFrame, key: int = KEY) -> DataFrame:

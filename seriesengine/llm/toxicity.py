@@ -40,14 +40,15 @@ class Rules:
 
     ``positives`` and ``unlabelled`` bound the samples, which are drawn by a hash of the
     document id; texts that repeat in a sample count once. A feature must occur in
-    ``min_docs`` documents of one sample and differ between the samples by ``min_z``
-    standard errors.
+    ``min_docs`` documents and the share ``min_share`` of one sample, and differ between
+    the samples by ``min_z`` standard errors.
     """
 
     positives: int = 8192
     unlabelled: int = 16384
     features: int = 2048
-    min_docs: int = 6
+    min_docs: int = 3
+    min_share: float = 0.02
     min_z: float = 4.0
     steps: int = 300
     rate: float = 0.1
@@ -180,6 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> Model:
     chosen = [
         r["feature"]
         for r in held.filter(F.greatest("p", "u") >= rules.min_docs)
+        .filter(F.greatest(F.col("p") / n, F.col("u") / m) >= rules.min_share)
         .withColumn("z", F.abs(z))
         .filter(F.col("z") >= rules.min_z)
         .orderBy(F.desc("z"), "feature")
