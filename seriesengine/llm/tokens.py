@@ -118,9 +118,11 @@ class Encoder:
         odd = np.fromiter(map(len, ids), np.int64, len(ids)) == len(_ODD)
         odd_before = np.concatenate([[0], np.cumsum(odd[index])])
         whole = odd_before[first_word[1:]] > odd_before[first_word[:-1]]
+        for at in np.flatnonzero(odd):
+            ids[at] = b""
         leads = index[first_word[:-1]]
         index[first_word[:-1]] = len(known) + np.arange(len(texts))
-        ids += [b"" if odd else self.whole(known[w]) for w, odd in zip(leads, whole, strict=True)]
+        ids += [b"" if skip else self.whole(known[w]) for w, skip in zip(leads, whole, strict=True)]
         return index, first_word, ids, whole
 
 
