@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesengine.sinks.exports import path_exists, read_array
+from seriesengine.sinks.exports import path_bytes, path_exists, read_array
 
 FRESH_DAYS = 7
 
+# An array of one empty object.
+MIN_BYTES = 4
+
 
 def freshness(df: DataFrame, day: str, as_of: str, max_age: int = FRESH_DAYS) -> DataFrame:
     """The newest day is at most ``max_age`` days before ``as_of``."""
@@ -19,10 +22,12 @@ def freshness(df: DataFrame, day: str, as_of: str, max_age: int = FRESH_DAYS) ->
     )
 
 
-def readable(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The export at ``path`` is there, is closed, has rows, and all of them parse."""
+def readable(
+    spark: SparkSession, path: str, schema: T.StructType, least_bytes: int = MIN_BYTES
+) -> DataFrame:
+    """The export at ``path`` is there, is not too small, is closed, and its rows parse."""
     name = F.lit("output").alias("check")
-    if not path_exists(spark, path):
+    if not path_exists(spark, path) or path_bytes(spark, path) < least_bytes:
         return spark.range(1).select(name, F.lit(False).alias("passed"))
     lines = spark.read.text(path)
     rows = read_array(spark, path, schema)
@@ -41,8 +46,12 @@ def readable(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and order-free content hash."""
-    content = F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))
+    """Row count and order-free content hash.
+
+    The hash skips nulls, so which columns are null is hashed beside the values.
+    """
+    nulls = [F.isnull(c) for c in df.columns]
+    content = F.sum(F.xxhash64(*df.columns, *nulls).cast("decimal(20,0)"))
     return df.agg(
         F.count("*").alias("rows"), F.coalesce(content, F.lit(0)).cast("string").alias("content")
     )

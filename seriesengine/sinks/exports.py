@@ -3,64 +3,78 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesengine.functions.numeric import round_even
 from seriesengine.operators.shocks import CHANGE
-from seriesengine.scratch import new_path
 
-# Exports up to this many rows are one file, larger ones a folder of parts.
-SINGLE_FILE_ROWS = 100_000
+
+def _json_value(value: Column, kind: T.DataType) -> Column:
+    """A value as JSON can hold it: NaN and infinities, at any depth, are null."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    if isinstance(kind, T.StructType):
+        fields = [_json_value(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _json_value(x, kind.elementType))
+    return value
 
 
 def json_text(df: DataFrame) -> Column:
-    """A row as minified JSON. Nulls are kept; NaN, which JSON lacks, is null."""
-    fields = []
-    for field in df.schema.fields:
-        value = F.col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = F.when(~F.isnan(value), value)
-        fields.append(value.alias(field.name))
+    """A row as minified JSON. Nulls are kept; numbers that JSON lacks are null."""
+    fields = [_json_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def array_lines(df: DataFrame, order: str, first: object, last: object) -> DataFrame:
+def array_lines(df: DataFrame, order: Sequence[str], first: Row, last: Row) -> DataFrame:
     """Rows as lines that, read in order, form one JSON array.
 
-    ``order`` is unique with known ends, so each row can tell its bracket or
-    comma by itself and nothing is gathered.
+    The ``order`` columns are unique with known ends, so each row can tell its
+    bracket or comma by itself and nothing is gathered.
     """
-    opening = F.when(F.col(order) == F.lit(first), "[").otherwise(",")
-    closing = F.when(F.col(order) == F.lit(last), "]").otherwise("")
-    return df.select(order, F.concat(opening, json_text(df), closing).alias("value"))
+
+    def at(end: Row) -> Column:
+        return reduce(Column.__and__, [F.col(c) == F.lit(end[c]) for c in order])
+
+    opening = F.when(at(first), "[").otherwise(",")
+    closing = F.when(at(last), "]").otherwise("")
+    return df.select(*order, F.concat(opening, json_text(df), closing).alias("value"))
 
 
 def publish_text(lines: DataFrame, path: str) -> None:
-    """Write the ``value`` column of one partition as the plain file ``path``."""
+    """Write the ``value`` column of one partition as the plain file ``path``.
+
+    The file is written beside its place and renamed over what is there.
+    """
     spark = lines.sparkSession
-    folder = new_path(spark, "publish")
+    folder = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
     lines.select("value").coalesce(1).write.text(folder)
     _move_part(spark, folder, path)
 
 
 def _move_part(spark: SparkSession, folder: str, path: str) -> None:
     context = spark.sparkContext
-    fs_path = context._jvm.org.apache.hadoop.fs.Path
-    target = fs_path(path)
-    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+    hadoop = context._jvm.org.apache.hadoop.fs
+    target, conf = hadoop.Path(path), context._jsc.hadoopConfiguration()
+    fs = target.getFileSystem(conf)
     (part,) = [
-        f.getPath() for f in fs.listStatus(fs_path(folder)) if f.getPath().getName()[:5] == "part-"
+        f.getPath() for f in fs.listStatus(hadoop.Path(folder)) if f.getPath().getName()[:5] == "part-"
     ]
-    fs.mkdirs(target.getParent())
-    fs.delete(target, True)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot move the export to {path}")
-    fs.delete(fs_path(folder), True)
+    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
+        fs.delete(target, True)
+    over = context._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    target = fs.makeQualified(target)
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(fs.makeQualified(part), target, over)
+    fs.delete(hadoop.Path(folder), True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -69,25 +83,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or of all files of a folder."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+    return fs.getContentSummary(target).getLength()
+
+
 def export_array(
-    df: DataFrame, order: str, path: str, single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame, order: str | Sequence[str], path: str, parts: bool = False
 ) -> dict[str, object]:
-    """Export rows as a JSON array ordered by a unique column.
+    """Export rows as a JSON array ordered by columns that are unique together.
 
-    The size decides the shape. Up to ``single_file_rows`` rows it is one file;
-    beyond, a folder whose part files, in name order, hold the same array, so no
-    task sees all rows. Returns the row count and both ends.
+    The caller chooses the shape: one file, which one task writes, or with ``parts`` a
+    folder whose part files, in name order, hold the same array, so that no task sees
+    all rows. Nulls and repeats in the order are refused. Returns the row count and
+    both ends; with several columns an end is a tuple.
     """
-    rows, first, last = df.agg(F.count("*"), F.min(order), F.max(order)).first()
+    order = [order] if isinstance(order, str) else list(order)
+    place = F.struct(*order)
+    rows, distinct, first, last = df.agg(
+        F.count("*"), F.count_distinct(*order), F.min(place), F.max(place)
+    ).first()
+    if rows != distinct:
+        raise ValueError(f"the order {order} has nulls or repeats: {rows} rows, {distinct} places")
     if rows == 0:
         publish_text(df.sparkSession.range(1).select(F.lit("[]").alias("value")), path)
         return {"rows": 0, "first": None, "last": None}
     lines = array_lines(df, order, first, last)
-    if rows <= single_file_rows:
-        publish_text(lines.repartition(1).sortWithinPartitions(order), path)
+    if parts:
+        lines.orderBy(*order).select("value").write.mode("overwrite").text(path)
     else:
-        lines.orderBy(order).select("value").write.mode("overwrite").text(path)
-    return {"rows": rows, "first": first, "last": last}
+        publish_text(lines.repartition(1).sortWithinPartitions(*order), path)
+    if len(order) == 1:
+        return {"rows": rows, "first": first[0], "last": last[0]}
+    return {"rows": rows, "first": tuple(first), "last": tuple(last)}
 
 
 def export_document(df: DataFrame, path: str) -> None:
@@ -153,8 +184,9 @@ def as_long(stats: DataFrame, table: str) -> DataFrame:
 def manifest(
     tables: dict[str, dict[str, object]], data_through: str, moment: datetime | None = None
 ) -> dict[str, object]:
-    """Content of the manifest; ``moment`` defaults to now."""
-    moment = (moment or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    """Content of the manifest; ``moment`` defaults to now and is UTC if it names no zone."""
+    moment = moment or datetime.now(timezone.utc)
+    moment = moment.replace(tzinfo=moment.tzinfo or timezone.utc).astimezone(timezone.utc)
     return {
         "generated_at": moment.strftime("%Y-%m-%dT%H:%M:%SZ"),
         "data_through": data_through,

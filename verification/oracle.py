@@ -453,3 +453,25 @@ UNION ALL SELECT 'output', count(*) > 0 FROM timeline
 UNION ALL SELECT 'changed_by_export', count(*) <> count(*) FROM timeline
 UNION ALL SELECT 'changed_by_move', count(slow) > 0 FROM timeline""",
 }
+
+ORACLE |= {
+    "lag_sweep_lead": _sweep().replace("range(0, 91)", "range(-30, 31)"),
+    "price_timeline_chunked": _timeline(),
+    "lag_sweep_chunked": _sweep(),
+    "shock_ranking_chunked": _shocks(),
+    "regime_daily_chunked": ORACLE["regime_daily"],
+    "regime_history_chunked": ORACLE["regime_history"],
+    "regime_history_by_priority_chunked": ORACLE["regime_history_by_priority"],
+    "status_snapshot_chunked": ORACLE["status_snapshot"],
+    "export_keyed_roundtrip": _timeline(SUPPLIER),
+    "export_order": f"""
+SELECT CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER) AS line, date, diesel_usd_gal
+FROM ({_timeline()})""",
+    "manifest": f"""
+SELECT '2024-06-30T12:00:00Z' AS generated_at, max(date) AS data_through,
+  count(*) AS rows, min(date) AS min_date FROM ({_timeline()})""",
+    "changed_null_move": f"""
+SELECT 'changed' AS "check",
+  count(*) FILTER (WHERE diesel_usd_gal IS NULL OR date = '1996-01-01') > 0 AS passed
+FROM ({_timeline()})""",
+}

@@ -21,7 +21,7 @@ from seriesengine.operators import (
     timeline,
 )
 from seriesengine.operators.layout import Series, public
-from seriesengine.params import ShockRules
+from seriesengine.params import LagRange, Layout, ShockRules
 from seriesengine.scratch import materialize, new_path
 from seriesengine.sinks import exports
 from seriesengine.sources import catalog, landing, paired
@@ -30,6 +30,9 @@ from seriesengine.sources.schemas import API_PAGE_SIZE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Spreads every series of the test data over many buckets and chunks.
+CHUNKED = Layout(bucket_days=64, chunk_rows=256, value_splits=4)
+
 # Ingestion instant of every batch, so that runs can be compared.
 BATCH = datetime(2024, 6, 30, 12, 0, 0)
 
@@ -61,20 +64,24 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def series(spark: SparkSession, folder: str, keys: tuple[str, ...] = ()) -> Series:
-    return timeline.timeline_series(*_SOURCES[keys](spark, folder), keys)
+def series(
+    spark: SparkSession, folder: str, keys: tuple[str, ...] = (), layout: Layout | None = None
+) -> Series:
+    return timeline.timeline_series(*_SOURCES[keys](spark, folder), keys, layout)
 
 
 def on_series(
-    operator: Callable[[Series], DataFrame], keys: tuple[str, ...] = ()
+    operator: Callable[[Series], DataFrame],
+    keys: tuple[str, ...] = (),
+    layout: Layout | None = None,
 ) -> Query:
     """Query that applies an operator to the timeline of a data folder."""
-    return lambda spark, folder: comparable(operator(series(spark, folder, keys)))
+    return lambda spark, folder: comparable(operator(series(spark, folder, keys, layout)))
 
 
-def price_timeline(keys: tuple[str, ...] = ()) -> Query:
+def price_timeline(keys: tuple[str, ...] = (), layout: Layout | None = None) -> Query:
     return lambda spark, folder: comparable(
-        timeline.price_timeline(*_SOURCES[keys](spark, folder), keys)
+        timeline.price_timeline(*_SOURCES[keys](spark, folder), keys, layout)
     )
 
 
@@ -251,28 +258,69 @@ def export_stats(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _roundtrip(df: DataFrame, order: str, single_file_rows: int) -> DataFrame:
+def _roundtrip(df: DataFrame, *order: str, parts: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, "export")
-    exports.export_array(df, order, path, single_file_rows)
+    exports.export_array(df, order, path, parts)
     return exports.read_array(spark, path, df.schema).drop("_corrupt_record")
 
 
 def export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Timeline exported as a folder of parts and read back."""
     gold = timeline.timeline_table(series(spark, folder))
-    return comparable(_roundtrip(gold, "date", single_file_rows=0))
+    return comparable(_roundtrip(gold, "date", parts=True))
+
+
+def export_keyed_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Keyed timeline exported by key and date and read back."""
+    gold = timeline.timeline_table(series(spark, folder, SUPPLIER))
+    return comparable(_roundtrip(gold, *SUPPLIER, "date", parts=True))
+
+
+def export_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of an exported timeline with their places in the file."""
+    gold = timeline.timeline_table(series(spark, folder)).select("date", "diesel_usd_gal")
+    path = new_path(spark, "export")
+    exports.export_array(gold, "date", path)
+    text = spark.read.text(path, wholetext=True)
+    lines = text.select(F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("line", "value"))
+    body = F.from_json(F.regexp_replace("value", r"^[\[,]|\]$", ""), gold.schema)
+    return comparable(lines.select("line", body.alias("r")).select("line", "r.*"))
 
 
 def export_lag_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Lag sweep exported as one file and read back."""
     sweep, _ = materialize(crosscorr.lag_sweep(series(spark, folder)), "sweep")
-    return comparable(_roundtrip(sweep, "lag_days", exports.SINGLE_FILE_ROWS))
+    return comparable(_roundtrip(sweep, "lag_days"))
 
 
 def export_shocks_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     ranking, _ = materialize(shocks.shock_ranking(series(spark, folder)), "ranking")
-    return comparable(_roundtrip(ranking, "rank", exports.SINGLE_FILE_ROWS))
+    return comparable(_roundtrip(ranking, "rank"))
+
+
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of the timeline, written with an instant that names no zone, read back."""
+    gold = timeline.timeline_table(series(spark, folder))
+    stats = exports.timeline_stats(gold, "date").first()
+    tables = {"price_timeline": {"rows": stats["rows"], "min_date": stats["min_date"]}}
+    path = exports.write_manifest(spark, tables, stats["max_date"], new_path(spark, "manifest"), BATCH)
+    back = spark.read.json(path, multiLine=True)
+    return back.select("generated_at", "data_through", "tables.price_timeline.*")
+
+
+def changed_null_move(spark: SparkSession, folder: str) -> DataFrame:
+    """A value that moves from one column to an empty one is a change."""
+    gold, _ = materialize(timeline.timeline_table(series(spark, folder)), "gold")
+    late = F.col("diesel_usd_gal").isNull() | (F.col("date") == F.lit("1996-01-01"))
+    old = gold.withColumn("diesel_usd_gal", F.when(~late, F.col("diesel_usd_gal")))
+    moved = old.withColumns(
+        {
+            "wti_usd_bbl": F.when(~late, F.col("wti_usd_bbl")),
+            "diesel_usd_gal": F.when(late, F.col("wti_usd_bbl")).otherwise(F.col("diesel_usd_gal")),
+        }
+    )
+    return quality.changed(moved, old)
 
 
 def export_status_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -366,4 +414,16 @@ QUERIES: dict[str, Query] = {
     "export_shocks_roundtrip": export_shocks_roundtrip,
     "export_status_roundtrip": export_status_roundtrip,
     "quality_checks": quality_checks,
+    "lag_sweep_lead": on_series(lambda s: crosscorr.lag_sweep(s, LagRange(-30, 30))),
+    "price_timeline_chunked": price_timeline((), CHUNKED),
+    "lag_sweep_chunked": on_series(crosscorr.lag_sweep, (), CHUNKED),
+    "shock_ranking_chunked": on_series(shocks.shock_ranking, (), CHUNKED),
+    "regime_daily_chunked": on_series(regime.regime_daily, (), CHUNKED),
+    "regime_history_chunked": on_series(regime.regime_history, (), CHUNKED),
+    "regime_history_by_priority_chunked": on_series(regime.regime_history, PRIORITY, CHUNKED),
+    "status_snapshot_chunked": on_series(status.status_snapshot, (), CHUNKED),
+    "export_keyed_roundtrip": export_keyed_roundtrip,
+    "export_order": export_order,
+    "manifest": manifest,
+    "changed_null_move": changed_null_move,
 }
