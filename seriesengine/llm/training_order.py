@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,6 +155,7 @@ def _written(
 ) -> DataFrame:
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, ranks).encode
+        pack = zstandard.ZstdCompressor(level=1)
         number, end = firsts[TaskContext.get().partitionId()]
         for batch in batches:
             found: list[tuple] = []
@@ -162,7 +164,7 @@ def _written(
                 ids = np.append(ids, END_ID).astype("<u2")
                 for start in range(0, len(ids), layout.length):
                     own = ids[start : start + layout.length]
-                    found.append((number, doc_id, start, len(own), zlib.compress(own.tobytes(), 1)))
+                    found.append((number, doc_id, start, len(own), pack.compress(own.tobytes())))
                     number += 1
                 if len(found) >= 20_000:
                     yield _batch(found)
@@ -190,6 +192,7 @@ def _written(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         files, base = _store(root)
         files.create_dir(base, recursive=True)
         name = stream = temporary = None
@@ -210,7 +213,7 @@ def _written(
                     close()
                     name, temporary = target, f"{base}/_{shard:08d}-{uuid.uuid4().hex}"
                     stream = files.open_output_stream(temporary)
-                own = zlib.decompress(packed.as_py())
+                own = unpack.decompress(packed.as_py())
                 crcs.append(zlib.crc32(own))
                 offsets.append(slot % layout.per_shard * layout.stride)
                 padding = np.full(layout.length - size, layout.pad, "<u2").tobytes()
