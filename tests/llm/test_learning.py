@@ -200,6 +200,17 @@ def test_recall(spark):
     assert len({(r.query_id, r.vec_id) for r in found} & truth) >= 0.9 * len(truth)
 
 
+def test_recall_where_the_least_budget_is_a_small_share(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "_SLICE", 500)
+    vectors = np.random.default_rng(10).standard_normal((9000, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    settings = neighbors.Settings(trees=12, sample=1000, leaf=32, compared=100)
+    found = neighbors.nearest(frame, every=60, settings=settings).collect()
+    truth = {(q, i) for q, _, i, _ in exact_16(vectors)}
+    assert len({(r.query_id, r.vec_id) for r in found} & truth) >= 0.9 * len(truth)
+
+
 def exact_16(vectors):
     for q in range(0, len(vectors), 60):
         scores = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
