@@ -34,8 +34,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as the mix of sources takes them."""
-    return mixing.mixed(docs)
+    """Documents as the mix of sources takes them, with their places in its shards."""
+    return mixing.mixed(docs, with_places=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ permutation of all slots deals them out to output shards, so a shard's counts pe
 source are multinomial draws, conditioned on the sources' totals: targets are met, not
 merely expected. A source's slots are numbered; each run of as many slots as it has
 blocks is mapped through a permutation of its own, so a block comes up again only when
-all others have, and slots and blocks are joined by that index.
+all others have, and slots and blocks are joined by that index. What is taken keeps its
+shard and slot: they are the layout of the output.
 
 Permutations are swap-or-not shuffles, which act on any number of items and so need no
 walk back into range. Only DataFrame functions are used.
@@ -160,9 +161,10 @@ def keyed(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
 
 def pieces(rows: DataFrame, of: DataFrame, key: int = KEY) -> DataFrame:
-    """``row, first, words, times``: parts of documents and how often the mix takes them.
+    """``row, first, words, at, slots``: parts of documents and the slots that take them.
 
-    ``first`` counts from 0 in the document; parts that are not taken are missing.
+    ``first`` counts from 0 in the document, ``at`` in each of the slots; parts that are
+    not taken are missing.
     """
     part = F.pmod(F.xxhash64("doc_id", F.lit(key)), F.lit(PARTS)).alias("part")
     slim = rows.filter("size > 0").select("row", "doc_id", "source_key", "size", part)
@@ -188,53 +190,91 @@ def pieces(rows: DataFrame, of: DataFrame, key: int = KEY) -> DataFrame:
     low = F.greatest(F.col("begin"), F.col("block") * BLOCK_WORDS)
     high = F.least(end, (F.col("block") + 1) * BLOCK_WORDS)
     cut = cut.select(
-        "row", "source_key", "block", (low - F.col("begin")).alias("first"), (high - low).alias("words")
+        "row",
+        "source_key",
+        "block",
+        (low - F.col("begin")).alias("first"),
+        (high - low).alias("words"),
+        (low - F.col("block") * BLOCK_WORDS).alias("at"),
     )
-    times = slots(of, key).groupBy("source_key", "block").agg(F.count("*").alias("times"))
+    # No more slots than MOST and one by rounding take a block.
+    takers = slots(of, key).groupBy("source_key", "block").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
     # Both sides grow with the words, which the sizes of what they are made from hide.
-    return cut.join(times.hint("merge"), ["source_key", "block"]).select("row", "first", "words", "times")
+    return cut.join(takers.hint("merge"), ["source_key", "block"]).select("row", "first", "words", "at", "slots")
+
+
+def _places(parts: Column) -> Column:
+    """``shard, slot, at, first, words`` of all that is taken of a document, by slot."""
+
+    def of_part(p: Column) -> Column:
+        return F.transform(
+            p["slots"],
+            lambda slot: F.struct(
+                F.floor(slot / SHARD_SLOTS).alias("shard"),
+                slot.alias("slot"),
+                p["at"].alias("at"),
+                p["first"].alias("first"),
+                p["words"].alias("words"),
+            ),
+        )
+
+    return F.sort_array(F.flatten(F.transform(parts, of_part)))
+
+
+def _listed(rows: DataFrame, of: DataFrame, key: int) -> DataFrame:
+    """``row, parts``: the pieces of each document, in its order."""
+    return pieces(rows, of, key).groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("first", "words", "at", "slots"))).alias("parts")
+    )
 
 
 def taken(docs: DataFrame, key: int = KEY) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row of ``docs``.
+    """``doc_id, size, source_size, target, taken, places`` of every row of ``docs``.
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are ignored. A
     null source is a source, the last; a null or empty text has size 0 and nothing is
     taken of it. Repeated rows are rows of their own. With no words at all, targets
-    are 0. Equal inputs give equal results.
+    are 0. ``places`` lists the shard and slot of all that is taken, where it begins in
+    the slot and in the document, and its words. Equal inputs give equal results.
     """
     rows = keyed(docs)
     of, _ = materialize(sources(rows), "mixing-sources")
-    sums = pieces(rows, of, key).groupBy("row").agg(
-        F.sum(F.col("words") * F.col("times")).alias("taken")
-    )
+    places = _listed(rows, of, key).select("row", _places(F.col("parts")).alias("places"))
+    taken_words = F.aggregate("places", F.lit(0).cast("bigint"), lambda s, p: s + p["words"])
+    places = places.withColumn("taken", taken_words)
+    none = F.array().cast(places.schema["places"].dataType)
     return (
         rows.join(of.select("source_key", "source_size", "target"), "source_key")
-        .join(sums, "row", "left")
-        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        .join(places, "row", "left")
+        .select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            F.coalesce("taken", F.lit(0)).alias("taken"),
+            F.coalesce("places", none).alias("places"),
+        )
     )
 
 
-def mixed(docs: DataFrame, key: int = KEY) -> DataFrame:
+def mixed(docs: DataFrame, key: int = KEY, with_places: bool = False) -> DataFrame:
     """Documents as the mix takes them, with the columns of ``docs``.
 
     A document of which nothing is taken is left out. One that is taken once as a
     whole keeps its text; of others, the text is what is taken, words joined by
     spaces, and what is taken again follows on a line of its own. ``n_chars``, where
-    present, is renewed.
+    present, is renewed. ``with_places`` adds the column ``places`` of ``taken``.
     """
     rows = keyed(docs, with_text=True)
     of, _ = materialize(sources(rows), "mixing-sources")
-    lists = pieces(rows, of, key).groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("first", "words", "times"))).alias("parts")
-    )
+    lists = _listed(rows, of, key)
     words = F.regexp_extract_all(F.col("doc.text").cast("string"), F.lit(WORD), F.lit(0))
 
     def passes(v: Column) -> Column:
-        most = F.array_max(F.transform(v["parts"], lambda p: p["times"]))
+        most = F.array_max(F.transform(v["parts"], lambda p: F.size(p["slots"]).cast("bigint")))
 
         def one(turn: Column) -> Column:
-            again = F.filter(v["parts"], lambda p: p["times"] >= turn)
+            again = F.filter(v["parts"], lambda p: F.size(p["slots"]) >= turn)
             return F.array_join(
                 F.transform(
                     again,
@@ -248,10 +288,10 @@ def mixed(docs: DataFrame, key: int = KEY) -> DataFrame:
         return F.array_join(F.transform(F.sequence(F.lit(1).cast("bigint"), most), one), "\n")
 
     held = F.aggregate("parts", F.lit(0).cast("bigint"), lambda s, p: s + p["words"])
-    once = (held == F.col("size")) & F.forall("parts", lambda p: p["times"] == 1)
+    once = (held == F.col("size")) & F.forall("parts", lambda p: F.size(p["slots"]) == 1)
     made = spans.let(F.struct(F.col("parts").alias("parts"), words.alias("words")), passes)
     text = F.when(once, F.col("doc.text").cast("string")).otherwise(made)
-    out = rows.join(lists, "row").select("doc", text.alias("text"))
+    out = rows.join(lists, "row").select("doc", text.alias("text"), _places(F.col("parts")).alias("places"))
     columns = []
     for field in docs.schema.fields:
         if field.name == "text":
@@ -260,4 +300,6 @@ def mixed(docs: DataFrame, key: int = KEY) -> DataFrame:
             columns.append(F.length(text_of(F.col("text"))).cast(field.dataType).alias("n_chars"))
         else:
             columns.append(F.col("doc")[field.name].alias(field.name))
+    if with_places:
+        columns.append(F.col("places"))
     return out.select(*columns)

@@ -134,6 +134,43 @@ def test_mixed_texts_hold_what_is_taken(odd_docs, no_docs):
     assert mixing.mixed(no_docs).count() == 0
 
 
+def test_mix_deals_slots_to_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 64)
+    rows = [(i, " ".join(f"w{i}x{n}" for n in range(50 + i % 60)), f"s{i % 3}") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {i: s for i, _, s in rows}
+    held, owner = collections.defaultdict(list), {}
+    found = mixing.taken(docs).collect()
+    for r in found:
+        assert sum(p.words for p in r.places) == r.taken
+        for p in r.places:
+            assert p.shard == p.slot // 64
+            assert 0 <= p.first and p.first + p.words <= r.size
+            held[p.slot].append((p.at, p.words))
+            assert owner.setdefault(p.slot, source[r.doc_id]) == source[r.doc_id]
+    # Every slot is filled from its beginning, by one source, and by no more than a block.
+    assert sorted(held) == list(range(len(held)))
+    for filled in held.values():
+        end = 0
+        for at, words in sorted(filled):
+            assert at == end
+            end += words
+        assert end <= mixing.BLOCK_WORDS
+    counts = collections.Counter((slot // 64, s) for slot, s in owner.items())
+    totals = collections.Counter(owner.values())
+    full = len(held) // 64
+    assert full > 4
+    for shard in range(full):
+        assert sum(counts[shard, s] for s in totals) == 64
+        for s, n in totals.items():
+            share = n / len(held)
+            assert abs(counts[shard, s] - 64 * share) <= 5 * (64 * share * (1 - share)) ** 0.5
+    assert len({tuple(counts[shard, s] for s in sorted(totals)) for shard in range(full)}) > 1
+    out = mixing.mixed(docs, with_places=True)
+    assert out.columns == [*docs.columns, "places"]
+    assert {r.doc_id: r.places for r in out.collect()} == {r.doc_id: r.places for r in found if r.taken}
+
+
 def test_shuffles_are_permutations(spark):
     for count in (1, 2, 3, 10, 1000):
         frame = spark.range(count).select(
