@@ -7,8 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesengine.llm import fingerprints, hmm, mixing, neighbors, packing, pii, secrets, simhash, spans, toxicity, training_order
+from seriesengine.llm import (
+    alignment,
+    fingerprints,
+    hmm,
+    mixing,
+    neighbors,
+    packing,
+    pii,
+    resampling,
+    secrets,
+    sharding,
+    simhash,
+    spans,
+    toxicity,
+    training_order,
+)
 from seriesengine.llm.common import table
+from seriesengine.llm.oracle import ORACLE as ORACLE
 from seriesengine.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +96,22 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights of all documents towards the benchmark, and the tenth that is drawn."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of all documents in eight shards along a Hilbert curve."""
+    placed = sharding.sharded(table(spark, folder, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Alignment of two tokenizers over every document."""
+    return alignment.aligned(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_hmm": op1_hmm,
     "op2_simhash": op2_simhash,
@@ -91,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_training_order": op9_training_order,
     "op10_packing": op10_packing,
+    "op11_resampling": op11_resampling,
+    "op12_sharding": op12_sharding,
+    "op13_alignment": op13_alignment,
 }
-
-ORACLE: dict[str, str] = {}
