@@ -1,17 +1,19 @@
 """Percent ranks over moving and growing frames.
 
 Spark's ``percent_rank`` ignores frames, so both ranks count the strictly smaller
-rows themselves. Inside a chunk that is a small vectorized kernel; across chunks
-it is a tree of window sums over (chunk, value) counts.
+rows themselves. Inside chunks that is one order statistic over position ranges, for
+many chunks at a time; across chunks it is a tree of window sums over (chunk, value)
+counts.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,58 +34,116 @@ BELOW_ROLLING = "_below_rolling"
 BELOW_EARLIER = "_below_earlier"
 SEEN = "_seen"
 
-_TILE = 512
+# Rows that are ranked together at least, unless a task has fewer: some chunks more or
+# less, since a chunk is never cut.
+_PIECE = 16_384
 
 # Ship the kernel itself, so that executors need numpy and pyarrow but not this
 # package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def count_below_rolling(values: np.ndarray, width: int, first: int = 0) -> np.ndarray:
-    """For each row from ``first`` on, rows of the last ``width`` (its own
-    included) that are strictly smaller. NaN is neither smaller nor larger."""
-    width = min(width, len(values))
-    if width == 0:
-        return np.zeros(0, dtype=np.int64)
-    padded = np.concatenate([np.full(width - 1, np.nan), values])
-    frames = np.lib.stride_tricks.sliding_window_view(padded, width)
-    counts = [
-        (frames[at : at + _TILE] < values[at : at + _TILE, None]).sum(axis=1)
-        for at in range(first, len(values), _TILE)
-    ]
-    return np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, dtype=np.int64)
-
-
-def count_below_earlier(values: np.ndarray) -> np.ndarray:
-    """For each row, earlier rows with a strictly smaller value. No NaN allowed."""
-    counts = np.empty(len(values), dtype=np.int64)
-    for at in range(0, len(values), _TILE):
-        tile = values[at : at + _TILE]
-        before = np.sort(values[:at])
-        inside = np.tril(tile[None, :] < tile[:, None], -1).sum(axis=1)
-        counts[at : at + _TILE] = np.searchsorted(before, tile, side="left") + inside
-    return counts
-
-
-def _chunk_kernel(rolling: str, growing: str, width: int) -> Callable[[pa.Table], pa.Table]:
-    def run(chunk: pa.Table) -> pa.Table:
-        chunk = chunk.sort_by(POS)
-        owned = chunk.column(OWNED).to_numpy()
-        # The rows a chunk owns are consecutive; the halo is in front of them.
-        first = int(np.argmax(owned))
-        kept = chunk.slice(first).drop_columns([OWNED])
-        below = count_below_rolling(chunk.column(rolling).to_numpy(), width, first)
-
-        value = kept.column(growing).to_numpy()
-        present = ~np.isnan(value)
-        earlier = np.zeros(len(value), dtype=np.int64)
-        earlier[present] = count_below_earlier(value[present])
-
-        return (
-            kept.append_column(BELOW_ROLLING, pa.array(below))
-            .append_column(BELOW_EARLIER, pa.array(earlier))
-            .append_column(SEEN, pa.array(np.cumsum(present, dtype=np.int64)))
-        )
+def count_smaller(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each row i, the rows from ``starts[i]`` to i that are strictly smaller.
+
+    NaN is neither smaller nor larger; a start beyond i is an empty range. The values
+    are replaced by their ranks, and the ranks are dealt bit by bit, from the highest,
+    into zeros before ones with their order kept. At each bit a range of positions
+    becomes the range of those of its members that share the rank's bits so far; where
+    the rank has a one, the members with a zero are smaller and are counted. So a row
+    costs one step per bit of the number of distinct values, however wide its range.
+    """
+    n = len(values)
+    count = np.zeros(n, np.int32)
+    if n == 0:
+        return count.astype(np.int64)
+    distinct, rank = np.unique(values, return_inverse=True)
+    rank = rank.astype(np.int32)
+    # The range of the row that asks, and its rank; its own value is never smaller.
+    right = np.arange(1, n + 1, dtype=np.int32)
+    left = np.minimum(starts.astype(np.int32), right)
+    dealt = rank
+    for bit in reversed(range(int(len(distinct) - 1).bit_length())):
+        one = (dealt >> bit) & 1
+        zeros = np.zeros(n + 1, np.int32)
+        np.cumsum(1 - one, out=zeros[1:])
+        low, high = zeros[left], zeros[right]
+        asks_one = ((rank >> bit) & 1).astype(bool)
+        count += np.where(asks_one, high - low, 0)
+        ahead = zeros[n]
+        left = np.where(asks_one, ahead + left - low, low)
+        right = np.where(asks_one, ahead + right - high, high)
+        one = one.astype(bool)
+        dealt = np.concatenate([dealt[~one], dealt[one]])
+    count[np.isnan(values)] = 0
+    return count.astype(np.int64)
+
+
+def _edges(table: pa.Table, names: Sequence[str]) -> np.ndarray:
+    """Rows at which one of the columns differs from the row before; the first is one."""
+    n = table.num_rows
+    differs = np.zeros(n, bool)
+    differs[:1] = True
+    for name in names:
+        column = table.column(name).combine_chunks()
+        above, below = column.slice(0, n - 1), column.slice(1)
+        unequal = pc.fill_null(pc.not_equal(above, below), False)
+        nulls = pc.xor(pc.is_null(above), pc.is_null(below))
+        differs[1:] |= pc.or_(unequal, nulls).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(differs)
+
+
+def _ranked_rows(
+    table: pa.Table, starts: np.ndarray, rolling: str, growing: str, width: int
+) -> pa.Table:
+    """The owned rows of whole chunks, which begin at ``starts``, with their counts."""
+    n = table.num_rows
+    sizes = np.diff(np.append(starts, n))
+    at = np.arange(n)
+    position, owned = (table.column(c).to_numpy() for c in (POS, OWNED))
+    start = np.repeat(starts, sizes)
+    headless = owned[starts] & (position[starts] > 0)
+    if headless.any() or not np.array_equal(position - position[start], at - start):
+        raise ValueError("the rows of a chunk must be consecutive and in one task")
+    below = count_smaller(table.column(rolling).to_numpy(), np.maximum(start, at - width + 1))
+
+    # The rows a chunk owns are consecutive; the halo is in front of them.
+    first = np.repeat(np.minimum.reduceat(np.where(owned, at, n), starts), sizes)
+    value = table.column(growing).to_numpy()
+    earlier = count_smaller(value, first)
+    present = np.cumsum(~np.isnan(value), dtype=np.int64)
+    before = np.where(first > 0, present[np.minimum(first, n) - 1], 0)
+    counted = {BELOW_ROLLING: below, BELOW_EARLIER: earlier, SEEN: present - before}
+    kept = table.drop_columns([OWNED])
+    for name, column in counted.items():
+        kept = kept.append_column(name, pa.array(column))
+    return kept.filter(pa.array(owned))
+
+
+def _kernel(
+    keys: Sequence[str], rolling: str, growing: str, width: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < _PIECE:
+                continue
+            table = pa.Table.from_batches(held)
+            starts = _edges(table, (*keys, CHUNK))
+            # The last chunk may go on in the next batch.
+            whole = int(starts[-1])
+            if whole:
+                done = table.slice(0, whole)
+                yield from _ranked_rows(done, starts[:-1], rolling, growing, width).to_batches()
+            tail = table.slice(whole)
+            held, size = tail.to_batches(), tail.num_rows
+        if size:
+            table = pa.Table.from_batches(held)
+            starts = _edges(table, (*keys, CHUNK))
+            yield from _ranked_rows(table, starts, rolling, growing, width).to_batches()
 
     return run
 
@@ -93,12 +153,16 @@ def rank_in_chunks(
 ) -> DataFrame:
     """Counts of smaller rows, right within each chunk; keeps the owned rows.
 
-    ``halo`` must reach ``width - 1`` rows back and none ahead. A group is one
-    chunk with its halo, so its size is bounded by the layout.
+    ``halo`` must reach ``width - 1`` rows back and none ahead, and must come out of
+    windows over ``chunk_window``: those put every chunk into one task, in order, so
+    nothing is shuffled or sorted again here. The kernel reads a task's rows as they
+    come, finds where chunks begin and holds the rows of an unfinished one, so a
+    thousand short series cost no more than one long one.
     """
     counts = [T.StructField(c, T.LongType()) for c in (BELOW_ROLLING, BELOW_EARLIER, SEEN)]
     schema = T.StructType(halo.drop(OWNED).schema.fields + counts)
-    return halo.groupBy(*keys, CHUNK).applyInArrow(_chunk_kernel(rolling, growing, width), schema)
+    ordered = halo.sortWithinPartitions(*keys, CHUNK, POS)
+    return ordered.mapInArrow(_kernel(tuple(keys), rolling, growing, width), schema)
 
 
 def _smaller_in_earlier_chunks(
