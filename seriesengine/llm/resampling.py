@@ -13,6 +13,7 @@ above the bracket are sorted among themselves for their ranks.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +32,6 @@ from seriesengine.scratch import materialize
 _TEXTS = 1024
 
 HASHED = "doc_id long, n_words long, n_features long, hashed array<struct<bucket:int,times:int>>"
-SCORED = "doc_id long, n_words long, n_features long, weight long"
 
 
 @dataclass(frozen=True)
@@ -146,22 +146,14 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.floor(1000 * np.log(ratio)).astype(np.int64)
 
 
-def weighted(hashed: DataFrame, gain: np.ndarray) -> DataFrame:
-    """Weights of hashed documents: the gains of their features, looked up in an array."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashed = batch.column(3)
-            pairs = hashed.flatten()
-            bucket, times = (pairs.field(i).to_numpy().astype(np.int64) for i in (0, 1))
-            sums = np.concatenate([[0], np.cumsum(gain[bucket] * times)])
-            ends = np.cumsum(pc.list_value_length(hashed).to_numpy())
-            weight = np.diff(sums[ends], prepend=0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(weight)], names=[c.split()[0] for c in SCORED.split(", ")]
-            )
-
-    return hashed.select("doc_id", "n_words", "n_features", "hashed").mapInArrow(rows, SCORED)
+def weight(hashed: Column, gain: np.ndarray) -> Column:
+    """Weight of a hashed document: the gains of its features, looked up in an array."""
+    gains = F.from_json(F.lit(json.dumps(gain.tolist())), "array<bigint>")
+    return F.aggregate(
+        hashed,
+        F.lit(0).cast("bigint"),
+        lambda sum, pair: sum + F.element_at(gains, pair["bucket"] + 1) * pair["times"],
+    )
 
 
 def noise(doc_id: Column, seed: int) -> Column:
@@ -208,7 +200,9 @@ def resample(docs: DataFrame, target: DataFrame, rules: Rules = RULES) -> DataFr
         rules.accuracy,
     )
     scored, seen = materialize(
-        weighted(hashed, gain).withColumn("score", F.col("weight") + noise(F.col("doc_id"), rules.seed)),
+        hashed.select("doc_id", "n_words", "n_features", weight(F.col("hashed"), gain).alias("weight")).withColumn(
+            "score", F.col("weight") + noise(F.col("doc_id"), rules.seed)
+        ),
         "scored",
         drawable=F.count_if(drawable),
         sketch=sketch,
