@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ IN_GROUP = "_in_group"
 LOCAL = "_local"
 OWNED = "_owned"
 POS = "pos"
+REPEATED = "_repeated"
 ROWS = "n_rows"
 
 
@@ -79,11 +81,15 @@ def running_to(spec: WindowSpec) -> WindowSpec:
 
 
 def numbered_in_group(keys: Sequence[str], group: str, counted: str, *order: str) -> dict[str, Column]:
-    """Columns that number the non-null ``counted`` rows inside (series, group)."""
+    """Columns that number the non-null ``counted`` rows inside (series, group), and tell
+    which rows have the same ``order`` as the row before them."""
     whole = Window.partitionBy(*keys, group)
+    ordered = whole.orderBy(*order)
+    same = [F.lag(c).over(ordered) == F.col(c) for c in order]
     return {
-        LOCAL: F.count(counted).over(running_to(whole.orderBy(*order))),
+        LOCAL: F.count(counted).over(running_to(ordered)),
         IN_GROUP: F.count(counted).over(whole),
+        REPEATED: F.coalesce(reduce(Column.__and__, same), F.lit(False)),
     }
 
 
@@ -105,11 +111,22 @@ def store_numbered(
     series do; then their numbers are final. Otherwise a small table with one
     row per (series, group) gives how many rows came earlier, and the rows are
     written again with it, so that no later reader repeats the join.
+
+    A series has one row per date. The write also observes rows that repeat one, and
+    any is an error: positions, chunks and the size of a task all count on it.
     """
     carry = carry or {}
     stored, seen = materialize(
-        rows, name, first=F.min(group), last=F.max(group), longest=F.max(IN_GROUP)
+        rows,
+        name,
+        first=F.min(group),
+        last=F.max(group),
+        longest=F.max(IN_GROUP),
+        repeated=F.count_if(REPEATED),
     )
+    if seen.get("repeated"):
+        raise ValueError(f"a series has one row per date; {seen['repeated']} rows of {name} repeat one")
+    stored = stored.drop(REPEATED)
     if seen.get("first") == seen.get("last"):
         frame = stored.withColumns(
             {POS: F.col(LOCAL) - 1, ROWS: F.col(IN_GROUP)}

@@ -24,55 +24,54 @@ from seriesengine.params import (
     DATE,
     FAST,
     FAST_PRICE,
+    FAST_SIDE,
+    PRICE,
+    SIDE,
     SLOW,
     SLOW_DATE,
     SLOW_PERIOD,
     SLOW_PRICE,
+    SLOW_SIDE,
     Layout,
 )
 
 
-def _both_sides(fast: DataFrame, slow: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per report of either side; on a shared date the slow one is first."""
-    fast_rows = fast.filter(F.col(FAST_PRICE).isNotNull()).select(
-        *keys,
-        F.col(DATE),
-        F.lit(1).alias("_side"),
-        F.col(FAST_PRICE).alias(FAST),
-        F.lit(None).cast("double").alias("_report"),
-        F.lit(None).cast("date").alias("_report_date"),
-    )
-    slow_rows = slow.select(
-        *keys,
-        F.col(SLOW_PERIOD).alias(DATE),
-        F.lit(0).alias("_side"),
-        F.lit(None).cast("double").alias(FAST),
-        F.col(SLOW_PRICE).alias("_report"),
-        F.col(SLOW_PERIOD).alias("_report_date"),
-    )
-    return fast_rows.unionByName(slow_rows).filter(F.col(DATE).isNotNull())
+def sides(fast: DataFrame, slow: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Both series as one frame of keys, ``date``, ``side`` and ``price``."""
+    rows = [
+        frame.select(*keys, F.col(day).alias(DATE), F.lit(side).alias(SIDE), F.col(price).alias(PRICE))
+        for frame, side, day, price in (
+            (fast, FAST_SIDE, DATE, FAST_PRICE),
+            (slow, SLOW_SIDE, SLOW_PERIOD, SLOW_PRICE),
+        )
+    ]
+    return rows[0].unionByName(rows[1])
 
 
-def timeline_series(
-    fast: DataFrame,
-    slow: DataFrame,
-    keys: Sequence[str] = (),
-    layout: Layout | None = None,
-) -> Series:
-    """``price_timeline`` with positions, stored for the operators that follow.
+def series_of(rows: DataFrame, keys: Sequence[str] = (), layout: Layout | None = None) -> Series:
+    """The timeline of both series in one frame, as ``sides`` gives it.
 
-    Reports are filled forward inside calendar buckets. Where a series spans
-    several, the latest report and the row count are carried into each. The
-    inputs are read once.
+    Reports are filled forward inside calendar buckets; on a shared date the slow one
+    comes first. Where a series spans several buckets, the latest report and the row
+    count are carried into each. The frame is read once. A key with two rows of one
+    side on one date is an error.
     """
     layout = layout or Layout()
-    fast, names = with_keys(fast, keys)
-    slow, _ = with_keys(slow, keys)
-    so_far = running_to(Window.partitionBy(*names, BUCKET).orderBy(DATE, "_side"))
-    numbers = numbered_in_group(names, BUCKET, FAST, DATE, "_side")
+    rows, names = with_keys(rows, keys)
+    fast = F.col(SIDE) == FAST_SIDE
+    so_far = running_to(Window.partitionBy(*names, BUCKET).orderBy(DATE, SIDE))
+    numbers = numbered_in_group(names, BUCKET, FAST, DATE, SIDE)
     filled = (
-        _both_sides(fast, slow, names)
-        .withColumn(BUCKET, calendar_bucket(F.col(DATE), layout))
+        rows.filter(F.col(DATE).isNotNull() & (~fast | F.col(PRICE).isNotNull()))
+        .select(
+            *names,
+            DATE,
+            SIDE,
+            calendar_bucket(F.col(DATE), layout).alias(BUCKET),
+            F.when(fast, F.col(PRICE)).alias(FAST),
+            F.when(~fast, F.col(PRICE)).alias("_report"),
+            F.when(~fast, F.col(DATE)).alias("_report_date"),
+        )
         .select(
             *names,
             BUCKET,
@@ -99,6 +98,16 @@ def timeline_series(
     return replace(numbered, frame=frame)
 
 
+def timeline_series(
+    fast: DataFrame,
+    slow: DataFrame,
+    keys: Sequence[str] = (),
+    layout: Layout | None = None,
+) -> Series:
+    """``price_timeline`` with positions, stored for the operators that follow."""
+    return series_of(sides(fast, slow, keys), keys, layout)
+
+
 def price_timeline(
     fast: DataFrame,
     slow: DataFrame,

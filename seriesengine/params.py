@@ -15,6 +15,12 @@ FAST_PRICE = "price_usd_bbl"
 SLOW_PRICE = "price_usd_gal"
 SLOW_PERIOD = "week_ending"
 
+# A row of either series in one frame; on a shared date the slow side comes first.
+SIDE = "side"
+PRICE = "price"
+SLOW_SIDE = 0
+FAST_SIDE = 1
+
 # Physical key of a series for which the caller names no key.
 WHOLE_SERIES = "_series"
 

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from seriesengine.functions.numeric import round_even
 from seriesengine.operators.shocks import CHANGE
+from seriesengine.scratch import materialize
+from seriesengine.sources.files import Files
 
 
 def _json_value(value: Column, kind: T.DataType) -> Column:
@@ -54,79 +56,106 @@ def publish_text(lines: DataFrame, path: str) -> None:
 
     The file is written beside its place and renamed over what is there.
     """
-    spark = lines.sparkSession
+    files = Files(lines.sparkSession, path)
     folder = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
     lines.select("value").coalesce(1).write.text(folder)
-    _move_part(spark, folder, path)
-
-
-def _move_part(spark: SparkSession, folder: str, path: str) -> None:
-    context = spark.sparkContext
-    hadoop = context._jvm.org.apache.hadoop.fs
-    target, conf = hadoop.Path(path), context._jsc.hadoopConfiguration()
-    fs = target.getFileSystem(conf)
-    (part,) = [
-        f.getPath() for f in fs.listStatus(hadoop.Path(folder)) if f.getPath().getName()[:5] == "part-"
-    ]
-    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
-        fs.delete(target, True)
-    over = context._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-    target = fs.makeQualified(target)
-    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(fs.makeQualified(part), target, over)
-    fs.delete(hadoop.Path(folder), True)
+    (part,) = files.names(folder, "part-")
+    if files.is_folder(path):
+        files.delete(path)
+    files.move_over(f"{folder}/{part}", path)
+    files.delete(folder)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+    return Files(spark, path).exists(path)
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Size of a file or of all files of a folder."""
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
-    return fs.getContentSummary(target).getLength()
+    return Files(spark, path).bytes(path)
 
 
 def export_array(
-    df: DataFrame, order: str | Sequence[str], path: str, parts: bool = False
+    df: DataFrame,
+    order: str | Sequence[str],
+    path: str,
+    parts: bool = False,
+    **metrics: Column,
 ) -> dict[str, object]:
     """Export rows as a JSON array ordered by columns that are unique together.
 
     The caller chooses the shape: one file, which one task writes, or with ``parts`` a
     folder whose part files, in name order, hold the same array, so that no task sees
-    all rows. Nulls and repeats in the order are refused. Returns the row count and
-    both ends; with several columns an end is a tuple.
+    all rows. Nulls and repeats in the order are refused. Returns the row count, both
+    ends (with several columns an end is a tuple), and ``metrics``, aggregates of ``df``.
+
+    ``df`` runs once: its rows are written to the scratch folder, which observes their
+    number, the ends of the order, the null places and the metrics. Everything after
+    that reads the written rows, for repeats only their order columns.
     """
     order = [order] if isinstance(order, str) else list(order)
     place = F.struct(*order)
-    rows, distinct, first, last = df.agg(
-        F.count("*"), F.count_distinct(*order), F.min(place), F.max(place)
-    ).first()
-    if rows != distinct:
-        raise ValueError(f"the order {order} has nulls or repeats: {rows} rows, {distinct} places")
-    if rows == 0:
+    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in order])
+    staged, seen = materialize(
+        df,
+        "export-rows",
+        **metrics,
+        _rows=F.count("*"),
+        _placed=F.count_if(complete),
+        _first=F.min(place),
+        _last=F.max(place),
+    )
+    rows, first, last = (seen.get(c) for c in ("_rows", "_first", "_last"))
+    measured = {name: seen.get(name) for name in metrics}
+    if not rows:
         publish_text(df.sparkSession.range(1).select(F.lit("[]").alias("value")), path)
-        return {"rows": 0, "first": None, "last": None}
-    lines = array_lines(df, order, first, last)
+        return {"rows": 0, "first": None, "last": None, **measured}
+    repeats = staged.groupBy(*order).count().filter("count > 1").limit(1).count()
+    if seen["_placed"] != rows or repeats:
+        raise ValueError(f"the order {order} has nulls or repeats in {rows} rows")
+    lines = array_lines(staged, order, first, last)
     if parts:
         lines.orderBy(*order).select("value").write.mode("overwrite").text(path)
     else:
         publish_text(lines.repartition(1).sortWithinPartitions(*order), path)
-    if len(order) == 1:
-        return {"rows": rows, "first": first[0], "last": last[0]}
-    return {"rows": rows, "first": tuple(first), "last": tuple(last)}
+    ends = [tuple(end) if len(order) > 1 else end[0] for end in (first, last)]
+    return {"rows": rows, "first": ends[0], "last": ends[1], **measured}
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line, value``: the lines of exported files with their places, from 0, in all of them.
+
+    A line's place is its file's offset, its block's offset in the file and its own
+    number in the block. Blocks are read by many tasks; only their numbers of lines
+    meet, one row per block.
+    """
+    meta = F.col("_metadata")
+    lines, _ = materialize(
+        spark.read.text(path).select(
+            "value",
+            meta["file_path"].alias("file"),
+            meta["file_block_start"].alias("block"),
+            F.monotonically_increasing_id().alias("id"),
+        ),
+        "lines",
+    )
+    held = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("size"))
+    offsets, before = [], 0
+    for file, block, first, size in sorted(tuple(r) for r in held.collect()):
+        offsets.append((file, block, before - first))
+        before += size
+    blocks = spark.createDataFrame(offsets, "file string, block long, shift long")
+    return lines.join(F.broadcast(blocks), ["file", "block"]).select(
+        (F.col("id") + F.col("shift")).alias("line"), "value"
+    )
 
 
 def export_document(df: DataFrame, path: str) -> None:
     """Export a one-row frame as a single JSON document; others are refused."""
-    rows = df.count()
-    if rows != 1:
-        raise ValueError(f"a document is one row, found {rows}")
-    publish_text(df.select(json_text(df).alias("value")), path)
+    staged, seen = materialize(df, "document-row", rows=F.count("*"))
+    if seen.get("rows") != 1:
+        raise ValueError(f"a document is one row, found {seen.get('rows') or 0}")
+    publish_text(staged.select(json_text(staged).alias("value")), path)
 
 
 def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesengine.params import DATE, FAST_PRICE, SLOW_PERIOD, SLOW_PRICE
+from seriesengine.params import (
+    DATE,
+    FAST_PRICE,
+    FAST_SIDE,
+    PRICE,
+    SIDE,
+    SLOW_PERIOD,
+    SLOW_PRICE,
+    SLOW_SIDE,
+)
 
 
 # Declared, so that opening a table runs no job to read its footer.
@@ -54,41 +63,65 @@ def whole(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return fast, slow
 
 
-def by_priority(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The same, per order priority. Line prices are summed per order before the
-    join, so it moves one row per order and week."""
+def by_priority(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides, per order priority, in one frame.
+
+    Either table is read once. Line prices are summed per order and week first; orders
+    and those sums then meet in one shuffle by order, where the one row of an order, by
+    its primary key, hands its priority to its lines. Lines without an order are dropped.
+    """
     key = "o_orderpriority"
-    orders = table(spark, folder, "orders")
-    fast = orders.groupBy(key, F.to_date("o_orderdate").alias(DATE)).agg(
-        _mean(F.col("o_totalprice")).alias(FAST_PRICE)
+    price, line = F.col("o_totalprice"), F.col("l_extendedprice")
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey",
+        key,
+        F.to_date("o_orderdate").alias(DATE),
+        F.lit(FAST_SIDE).alias(SIDE),
+        cents(price).alias("_cents"),
+        price.isNotNull().cast("bigint").alias("_prices"),
     )
     lines = (
         table(spark, folder, "lineitem")
-        .groupBy(
-            F.col("l_orderkey").alias("o_orderkey"), _week(F.col("l_shipdate")).alias(SLOW_PERIOD)
-        )
-        .agg(
-            F.sum(cents(F.col("l_extendedprice"))).alias("_cents"),
-            F.count("l_extendedprice").alias("_lines"),
-        )
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"), _week(F.col("l_shipdate")).alias(DATE))
+        .agg(F.sum(cents(line)).alias("_cents"), F.count(line).alias("_prices"))
+        .select("o_orderkey", F.lit(None).cast("string").alias(key), DATE, F.lit(SLOW_SIDE).alias(SIDE), "_cents", "_prices")
     )
-    slow = (
-        lines.join(orders.select("o_orderkey", key), "o_orderkey")
-        .groupBy(key, SLOW_PERIOD)
-        .agg((F.sum("_cents") / F.sum("_lines") / 100).alias(SLOW_PRICE))
+    of_order = Window.partitionBy("o_orderkey")
+    ordered = F.max(SIDE).over(of_order) == FAST_SIDE
+    return (
+        orders.unionByName(lines)
+        .select(DATE, SIDE, "_cents", "_prices", F.max(key).over(of_order).alias(key), ordered.alias("_ordered"))
+        .filter("_ordered")
+        .groupBy(key, DATE, SIDE)
+        .agg((F.sum("_cents") / F.sum("_prices") / 100).alias(PRICE))
     )
-    return fast, slow
 
 
-def by_supplier(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Per supplier: mean line price per ship day; unit price per ship week. The
-    number of series grows with the data."""
-    lines = table(spark, folder, "lineitem")
-    fast = lines.groupBy("l_suppkey", F.to_date("l_shipdate").alias(DATE)).agg(
-        _mean(F.col("l_extendedprice")).alias(FAST_PRICE)
+def by_supplier(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides in one frame, per supplier: mean line price per ship day, and unit price
+    per ship week. The lines are read and shuffled once, for both groupings. The number
+    of series grows with the data."""
+    price = F.col("l_extendedprice")
+    lines = table(spark, folder, "lineitem").select(
+        "l_suppkey",
+        F.to_date("l_shipdate").alias("_day"),
+        _week(F.col("l_shipdate")).alias("_of_week"),
+        cents(price).alias("_cents"),
+        price.isNotNull().cast("bigint").alias("_prices"),
+        F.col("l_quantity").cast("bigint").alias("_units"),
     )
-    units = F.sum(F.col("l_quantity").cast("bigint"))
-    slow = lines.groupBy("l_suppkey", _week(F.col("l_shipdate")).alias(SLOW_PERIOD)).agg(
-        (F.sum(cents(F.col("l_extendedprice"))) / units / 100).alias(SLOW_PRICE)
+    sums = lines.groupingSets(
+        [["l_suppkey", "_day"], ["l_suppkey", "_of_week"]], "l_suppkey", "_day", "_of_week"
+    ).agg(
+        F.grouping("_day").alias("_weekly"),
+        F.sum("_cents").alias("_cents"),
+        F.sum("_prices").alias("_prices"),
+        F.sum("_units").alias("_units"),
+    )
+    weekly = F.col("_weekly") == 1
+    return sums.select(
+        "l_suppkey",
+        F.when(weekly, F.col("_of_week")).otherwise(F.col("_day")).alias(DATE),
+        F.when(weekly, F.lit(SLOW_SIDE)).otherwise(F.lit(FAST_SIDE)).alias(SIDE),
+        (F.col("_cents") / F.when(weekly, F.col("_units")).otherwise(F.col("_prices")) / 100).alias(PRICE),
     )
-    return fast, slow

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seriesengine.operators.layout import Series, index_series
 from seriesengine.params import Layout
 
-START = date(2000, 1, 3)
+START = date(1998, 11, 19)
 
 # Small enough that every test series is spread over many buckets and chunks.
 TINY = Layout(bucket_days=16, chunk_rows=32, value_splits=4)

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from seriesengine.operators import cleanse, crosscorr, regime, shocks, status
-from seriesengine.operators.layout import with_halo
+from seriesengine.operators.layout import index_series, with_halo
 from seriesengine.operators.timeline import timeline_series
 from seriesengine.sources import paired
 from seriesengine.sources.paired import table
@@ -79,3 +79,18 @@ def test_area_filter_is_pushed_to_the_scan(spark, tmp_path):
     plan = plan_of(cleanse.clean_weekly(spark.read.parquet(path)))
     assert "EqualTo(duoarea,NUS)" in plan
     assert "units" not in plan
+
+
+@pytest.mark.parametrize("sides", [paired.by_priority, paired.by_supplier])
+def test_raw_tables_are_scanned_once(spark, sides):
+    plan = plan_of(sides(spark, FOLDER))
+    for name in ("orders", "lineitem"):
+        assert plan.count(f"{name}.parquet") <= 1
+    assert plan.count("lineitem.parquet") == 1
+    assert "Join" not in plan
+
+
+def test_ranks_add_no_shuffle_to_the_windows_they_follow(series):
+    plan = plan_of(regime.regime_daily(index_series(series.frame.select("date", "diesel_usd_gal"))))
+    assert plan.count("Exchange") == 1
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan

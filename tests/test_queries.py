@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from verification.compare import connect, difference
+from verification.oracle import ORACLE
 from verification.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,7 +18,8 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

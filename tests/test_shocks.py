@@ -14,33 +14,6 @@ def ranking(timeline_of, prices, layout, rules=None):
     return shock_ranking(timeline_of(prices, layout), rules).orderBy("rank").collect()
 
 
-def test_weaker_neighbour_is_suppressed(timeline_of, layout):
-    prices = [1.0] * 100
-    prices[50:53] = [1.30] * 3
-    prices[53] = 1.28
-    rows = ranking(timeline_of, prices, layout)
-    assert [r["peak_date"] for r in rows] == [START + timedelta(days=50)]
-
-
-def test_distant_events_are_both_kept(timeline_of, layout):
-    prices = [1.0] * 50 + [1.20] * 60 + [1.50] * 40
-    rows = ranking(timeline_of, prices, layout)
-    days = {(r["peak_date"] - START).days: r["pct_change_28d"] for r in rows}
-    assert set(days) == {50, 110}
-    assert days[50] == pytest.approx(20) and days[110] == pytest.approx(25)
-    assert rows[0]["rank"] == 1 and (rows[0]["peak_date"] - START).days == 110
-
-
-def test_equal_changes_are_one_event_on_the_first_date(timeline_of, layout):
-    prices = [1.0] * 90
-    prices[50:54] = [1.20] * 4
-    rows = ranking(timeline_of, prices, layout)
-    assert [r["peak_date"] for r in rows] == [START + timedelta(days=50)]
-    row = rows[0]
-    assert row["period_start_date"] == row["peak_date"] - timedelta(days=28)
-    assert (row["diesel_start_usd_gal"], row["diesel_peak_usd_gal"]) == (1.0, 1.2)
-
-
 def brute_force(prices, rules):
     """Peaks as (day, change) in rank order, from the definition."""
     changes = [
@@ -68,6 +41,22 @@ def test_equals_brute_force(timeline_of, layout, seed):
     assert got == brute_force(prices, rules)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_plateaus_and_ties_equal_brute_force(timeline_of, layout, seed):
+    """Whole prices from a short list, held for some days: many equal changes."""
+    rng = np.random.default_rng(100 + seed)
+    prices = np.repeat(rng.integers(2, 6, 30), rng.integers(1, 25, 30)).astype(float).tolist()
+    rules = ShockRules(window=int(rng.integers(5, 30)), suppression=int(rng.integers(0, 20)), top_n=50)
+    rows = ranking(timeline_of, prices, layout, rules)
+    got = [((r["peak_date"] - START).days, r["pct_change_28d"]) for r in rows]
+    assert got == brute_force(prices, rules)
+    assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+    for r in rows:
+        day = (r["peak_date"] - START).days
+        assert r["diesel_start_usd_gal"] == prices[day - rules.window]
+        assert r["diesel_peak_usd_gal"] == prices[day]
+
+
 def test_zero_base_is_no_shock(timeline_of, layout):
     assert ranking(timeline_of, [0.0] * 40 + [1.0] * 20, layout) == []
 

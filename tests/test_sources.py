@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seriesengine.functions.numeric import valid_price
 from seriesengine.operators import cleanse
 from seriesengine.sources import catalog, landing, schemas
+from seriesengine.sources.files import Files
 
 BATCH = datetime(2025, 3, 4, 23, 30, tzinfo=timezone(timedelta(hours=-2)))
 
@@ -122,6 +123,51 @@ def test_batch_over_several_partitions_is_refused(spark, tmp_path):
             catalog.replace_partition(batch, str(tmp_path / "t"))
 
 
+def counted(frame, counter):
+    """The frame, whose rows are counted whenever they are computed."""
+
+    def see(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return frame.mapInArrow(see, frame.schema)
+
+
+def test_a_batch_runs_once_and_a_refused_one_changes_nothing(spark, tmp_path):
+    path = tmp_path / "t"
+    runs = spark.sparkContext.accumulator(0)
+    done = catalog.replace_partition(counted(day_batch(spark, "2025-01-01", [1, 2]), runs), str(path))
+    assert done == {"rows": 2, "ingestion_date": date(2025, 1, 1)}
+    assert runs.value == 2
+    before = {p: p.read_bytes() for p in path.rglob("*") if p.is_file()}
+    unplaced = day_batch(spark, "2025-01-01", [7]).union(spark.sql("SELECT 8 AS v, CAST(NULL AS date)"))
+    for bad in (day_batch(spark, "2025-01-01", [9]).union(day_batch(spark, "2025-01-02", [9])), unplaced):
+        with pytest.raises(ValueError, match="exactly one"):
+            catalog.replace_partition(bad, str(path))
+    failing = day_batch(spark, "2025-01-01", [3]).withColumn("v", F.raise_error("broken").cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        catalog.replace_partition(failing, str(path))
+    assert {p: p.read_bytes() for p in path.rglob("*") if p.is_file()} == before
+    assert [p.name for p in path.iterdir()] == ["ingestion_date=2025-01-01"]
+
+
+def test_partition_comes_back_if_the_new_one_cannot_take_its_place(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    catalog.replace_partition(day_batch(spark, "2025-01-01", [1]), path)
+    move = Files.move
+
+    def fails_once(self, source, target):
+        if "_staged" in source:
+            raise OSError("no")
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", fails_once)
+    with pytest.raises(OSError):
+        catalog.replace_partition(day_batch(spark, "2025-01-01", [2]), path)
+    assert [r["v"] for r in catalog.read_table(spark, path).collect()] == [1]
+
+
 def test_summary(spark):
     frame = spark.sql("SELECT date_add(date '2025-01-01', cast(id AS int)) AS d FROM range(5)")
     row = catalog.table_summary(frame, "d").first()

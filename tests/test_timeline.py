@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 
+from seriesengine.operators.layout import index_series
 from seriesengine.operators.timeline import price_timeline, timeline_series
-from seriesengine.params import Layout
+from seriesengine.params import DATE, FAST, SLOW, SLOW_DATE, Layout
 from tests.conftest import TINY
 
 MONDAY = date(2025, 1, 6)
@@ -19,36 +21,47 @@ def slow_frame(spark, rows):
     return spark.createDataFrame(rows, "week_ending date, price_usd_gal double")
 
 
-def two_weeks(spark):
-    fast = [(MONDAY + timedelta(days=i), 70.0 + i) for i in range(14)]
-    slow = [(MONDAY, 4.0), (MONDAY + timedelta(days=7), 4.5)]
-    return fast_frame(spark, fast), slow_frame(spark, slow)
-
-
-def test_reports_are_carried_forward(spark, layout):
-    rows = price_timeline(*two_weeks(spark), layout=layout).orderBy("date").collect()
-    assert len(rows) == 14
-    for i, row in enumerate(rows):
-        second = i >= 7
-        assert row["date"] == MONDAY + timedelta(days=i)
-        assert row["wti_usd_bbl"] == 70.0 + i
-        assert row["diesel_usd_gal"] == (4.5 if second else 4.0)
-        assert row["diesel_week_ending"] == MONDAY + timedelta(days=7 if second else 0)
-
-
-def test_no_nulls_when_both_start_together(spark, layout):
-    result = price_timeline(*two_weeks(spark), layout=layout)
-    for column in result.columns:
-        assert result.filter(result[column].isNull()).count() == 0
+@pytest.mark.parametrize("seed", range(4))
+def test_random_reports_equal_a_scan_of_all_of_them(spark, layout, seed):
+    """Every fast date has the price of the latest report at or before it that has one,
+    and the date of the latest report at all."""
+    rng = np.random.default_rng(seed)
+    days = [MONDAY + timedelta(days=int(d)) for d in rng.choice(500, 120, replace=False)]
+    fast = {d: float(i) for i, d in enumerate(days[:80])}
+    slow = {d: None if rng.random() < 0.2 else float(i) for i, d in enumerate(days[60:])}
+    rows = price_timeline(
+        fast_frame(spark, list(fast.items())), slow_frame(spark, list(slow.items())), layout=layout
+    ).collect()
+    assert price_timeline(fast_frame(spark, []), slow_frame(spark, [])).count() == 0
+    assert len(rows) == len(fast)
+    for day, price, report, reported in (tuple(r) for r in rows):
+        earlier = [d for d in slow if d <= day]
+        priced = [d for d in earlier if slow[d] is not None]
+        assert price == fast[day]
+        assert report == (slow[max(priced)] if priced else None)
+        assert reported == (max(earlier) if earlier else None)
 
 
 def test_columns(spark):
-    assert price_timeline(*two_weeks(spark)).columns == [
-        "date",
-        "wti_usd_bbl",
-        "diesel_usd_gal",
-        "diesel_week_ending",
-    ]
+    found = price_timeline(fast_frame(spark, [(MONDAY, 1.0)]), slow_frame(spark, [(MONDAY, 2.0)]))
+    assert found.columns == [DATE, FAST, SLOW, SLOW_DATE]
+
+
+def test_repeated_dates_are_an_error(spark, layout):
+    """40,000 rows on 100 dates would fill one task; the write that numbers them refuses."""
+    many = spark.range(40_000).selectExpr(
+        "date_add(date'2025-01-06', cast(id % 100 AS int)) AS date", "1D + id AS price_usd_bbl"
+    )
+    once = slow_frame(spark, [(MONDAY, 4.0)])
+    with pytest.raises(ValueError, match="39900 rows"):
+        timeline_series(many, once, layout=layout)
+    with pytest.raises(ValueError, match="1 rows"):
+        timeline_series(fast_frame(spark, [(MONDAY, 1.0)]), once.union(once), layout=layout)
+    with pytest.raises(ValueError, match="39900 rows"):
+        index_series(many.withColumn("diesel_usd_gal", many["price_usd_bbl"]), layout=layout)
+    keyed = many.filter("price_usd_bbl <= 200").selectExpr("price_usd_bbl <= 100 AS k", "*")
+    slow = once.selectExpr("true AS k", "*")
+    assert timeline_series(keyed, slow, ["k"], layout).frame.count() == 200
 
 
 def test_dates_before_the_first_report_keep_a_null(spark, layout):

@@ -39,7 +39,11 @@ BATCH = datetime(2024, 6, 30, 12, 0, 0)
 PRIORITY = ("o_orderpriority",)
 SUPPLIER = ("l_suppkey",)
 
-_SOURCES = {(): paired.whole, PRIORITY: paired.by_priority, SUPPLIER: paired.by_supplier}
+_SIDES = {
+    (): lambda spark, folder: timeline.sides(*paired.whole(spark, folder)),
+    PRIORITY: paired.by_priority,
+    SUPPLIER: paired.by_supplier,
+}
 
 
 # Sums of doubles, whose last bits depend on the order of rows. All other values
@@ -67,7 +71,7 @@ def comparable(df: DataFrame) -> DataFrame:
 def series(
     spark: SparkSession, folder: str, keys: tuple[str, ...] = (), layout: Layout | None = None
 ) -> Series:
-    return timeline.timeline_series(*_SOURCES[keys](spark, folder), keys, layout)
+    return timeline.series_of(_SIDES[keys](spark, folder), keys, layout)
 
 
 def on_series(
@@ -80,9 +84,7 @@ def on_series(
 
 
 def price_timeline(keys: tuple[str, ...] = (), layout: Layout | None = None) -> Query:
-    return lambda spark, folder: comparable(
-        timeline.price_timeline(*_SOURCES[keys](spark, folder), keys, layout)
-    )
+    return on_series(timeline.timeline_table, keys, layout)
 
 
 def optimal_lag(keys: tuple[str, ...] = ()) -> Query:
@@ -278,14 +280,13 @@ def export_keyed_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def export_order(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines of an exported timeline with their places in the file."""
+    """The lines of an exported timeline with their places in all part files."""
     gold = timeline.timeline_table(series(spark, folder)).select("date", "diesel_usd_gal")
     path = new_path(spark, "export")
-    exports.export_array(gold, "date", path)
-    text = spark.read.text(path, wholetext=True)
-    lines = text.select(F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("line", "value"))
+    exports.export_array(gold, "date", path, parts=True)
     body = F.from_json(F.regexp_replace("value", r"^[\[,]|\]$", ""), gold.schema)
-    return comparable(lines.select("line", body.alias("r")).select("line", "r.*"))
+    lines = exports.numbered_lines(spark, path).select(F.col("line").cast("int"), body.alias("r"))
+    return comparable(lines.select("line", "r.*"))
 
 
 def export_lag_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
