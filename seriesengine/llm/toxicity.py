@@ -7,31 +7,38 @@ set, toxic ones included. With the class prior p, the risk of a classifier is
 
 whose second term is the risk on negatives, which cannot be negative: where it falls
 below zero, the step climbs out of it instead. A linear classifier on the presence of
-words and word beginnings is fitted in numpy on the two bounded samples; features are
-chosen by how much more often they occur in positives than in unlabelled texts.
+words, word beginnings and, in runs longer than words are, overlapping pieces is fitted
+in numpy on the two bounded samples. Features are chosen by how much more often they
+occur in the positives than in all unlabelled texts, which are counted in full.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from seriesengine.llm.common import fold_of, text_of
 from seriesengine.scratch import materialize
 
 _WORD = re.compile(r"[^\W\d_]+")
 
-# Lengths of the word beginnings that are features beside whole words, and the
-# characters of a word that count.
+# Lengths of the word beginnings that are features beside whole words.
 _BEGINNINGS = (5, 7)
+
+# Runs of letters above this length are no words; all their pieces of so many
+# characters are features instead, so that every character can reach the score.
 _LONGEST = 40
+_PIECE = 4
+
+# Features that a task counts before it hands the counts on.
+_COUNTED = 400_000
 
 
 @dataclass(frozen=True)
@@ -40,16 +47,15 @@ class Rules:
 
     ``positives`` and ``unlabelled`` bound the samples, which are drawn by a hash of the
     document id; texts that repeat in a sample count once. A feature must occur in
-    ``min_docs`` documents and the share ``min_share`` of one sample, and differ between
-    the samples by ``min_z`` standard errors.
+    ``min_docs`` positives of the sample or unlabelled documents of the whole training
+    fold, and its shares in the two must differ by ``min_z`` standard errors.
     """
 
     positives: int = 8192
     unlabelled: int = 16384
     features: int = 2048
-    min_docs: int = 3
-    min_share: float = 0.02
-    min_z: float = 4.0
+    min_docs: int = 20
+    min_z: float = 5.0
     steps: int = 300
     rate: float = 0.1
     penalty: float = 1e-4
@@ -68,9 +74,13 @@ class Model:
 
 
 def features_of(text: str) -> set[str]:
-    """Words of a text and their beginnings, which end in ``*``."""
-    words = {w[:_LONGEST] for w in _WORD.findall(text.lower())}
-    return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in _BEGINNINGS))
+    """Words of a text, their beginnings, which end in ``*``, and pieces, which begin with it."""
+    runs = set(_WORD.findall(text.lower()))
+    words = {w for w in runs if len(w) <= _LONGEST}
+    found = words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in _BEGINNINGS))
+    for run in runs - words:
+        found |= {"*" + run[i : i + _PIECE] for i in range(len(run) - _PIECE + 1)}
+    return found
 
 
 def nnpu(
@@ -115,17 +125,38 @@ def _drawn(ids: DataFrame, salt: str, most: int) -> DataFrame:
 
 
 def _with_features(rows: DataFrame) -> DataFrame:
+    """``positive, features`` of ``positive, text``."""
+
+    @F.arrow_udf("array<string>")
+    def found(texts: pa.Array) -> pa.Array:
+        return pa.array([sorted(features_of(t.as_py())) for t in texts], pa.list_(pa.string()))
+
+    return rows.select("positive", found("text").alias("features"))
+
+
+def _document_counts(texts: DataFrame) -> DataFrame:
+    """``feature, held``: in how many of the texts a feature occurs, over all of them.
+
+    Tasks add up their own texts first and hand on bounded tables of counts.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def table() -> pa.RecordBatch:
+            columns = [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["feature", "held"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [sorted(features_of(t.as_py())) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(found, pa.list_(pa.string()))],
-                    names=["positive", "features"],
-                )
+            for text in batch.column(0):
+                held.update(features_of(text.as_py()))
+                if len(held) >= _COUNTED:
+                    yield table()
+        yield table()
 
-    return rows.mapInArrow(run, "positive boolean, features array<string>")
+    counts = texts.select("text").mapInArrow(run, "feature string, held long")
+    return counts.groupBy("feature").agg(F.sum("held").alias("held"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> Model:
@@ -156,6 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> Model:
         every.select("doc_id", F.lit(False).alias("positive"))
     )
     drawn, _ = materialize(drawn, "toxicity-drawn")
+    total = own.count()
     rows = own.join(F.broadcast(drawn), "doc_id").dropDuplicates(["positive", "text"])
     sample, sizes = materialize(
         _with_features(rows.select("positive", "text")),
@@ -167,22 +199,22 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> Model:
     if not n or not m:
         return Model({}, -30.0, prior)
 
-    held = (
-        sample.select("positive", F.explode("features").alias("feature"))
+    # Every text of the fold is counted, few of them often: the whole fold is the
+    # unlabelled set of the statistics, the sample is for the descent alone.
+    everywhere = _document_counts(own)
+    among = (
+        sample.filter("positive")
+        .select(F.explode("features").alias("feature"))
         .groupBy("feature")
-        .agg(
-            F.sum(F.col("positive").cast("long")).alias("p"),
-            F.sum((~F.col("positive")).cast("long")).alias("u"),
-        )
+        .agg(F.count("*").alias("p"))
     )
-    pooled = (F.col("p") + F.col("u") + 1) / F.lit(n + m + 2.0)
-    spread = F.sqrt(pooled * (1 - pooled) * F.lit(1.0 / n + 1.0 / m))
-    z = (F.col("p") / F.lit(float(n)) - F.col("u") / F.lit(float(m))) / spread
+    counts = everywhere.filter(F.col("held") >= rules.min_docs).join(among, "feature", "left")
+    p, u = F.coalesce("p", F.lit(0)) / float(n), F.col("held") / float(total)
+    pooled = (F.coalesce("p", F.lit(0)) + F.col("held") + 1) / F.lit(n + total + 2.0)
+    spread = F.sqrt(pooled * (1 - pooled) * F.lit(1.0 / n + 1.0 / total))
     chosen = [
         r["feature"]
-        for r in held.filter(F.greatest("p", "u") >= rules.min_docs)
-        .filter(F.greatest(F.col("p") / n, F.col("u") / m) >= rules.min_share)
-        .withColumn("z", F.abs(z))
+        for r in counts.withColumn("z", F.abs(p - u) / spread)
         .filter(F.col("z") >= rules.min_z)
         .orderBy(F.desc("z"), "feature")
         .limit(rules.features)
@@ -191,14 +223,12 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> Model:
     ]
     index = {f: i for i, f in enumerate(chosen)}
 
-    def indices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [[index[f] for f in fs if f in index] for fs in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own, pa.list_(pa.int32()))], names=["positive", "own"]
-            )
+    @F.arrow_udf("array<int>")
+    def known(features: pa.Array) -> pa.Array:
+        own = [[index[f] for f in fs if f in index] for fs in features.to_pylist()]
+        return pa.array(own, pa.list_(pa.int32()))
 
-    collected = sample.mapInArrow(indices, "positive boolean, own array<int>").toArrow()
+    collected = sample.select("positive", known("features").alias("own")).toArrow()
     is_positive = collected.column("positive").to_pylist()
     own_features = [np.array(x, np.int64) for x in collected.column("own").to_pylist()]
     positive = [f for f, p in zip(own_features, is_positive, strict=True) if p]
@@ -207,34 +237,24 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> Model:
     return Model(dict(zip(chosen, weights.tolist(), strict=True)), intercept, prior)
 
 
-def with_score(docs: DataFrame, model: Model) -> DataFrame:
-    """Every row of ``docs`` as the struct ``row``, with its ``score`` between 0 and 1.
+def score(text: Column, model: Model) -> Column:
+    """Probability, 0 to 1, that a text is toxic, from the whole text alone.
 
-    The score is the estimated probability of being toxic and depends on the whole
-    text alone; null counts as empty, and an empty text gets the intercept's score.
+    Null counts as empty, and an empty text gets the intercept's score. Only texts go
+    to the Python workers; the other columns of a row stay where they are.
     """
     weights = model.weights
-    whole = {f for f in weights if not f.endswith("*")}
-    starts = {n: {f[:-1] for f in weights if f.endswith("*") and len(f) == n + 1} for n in _BEGINNINGS}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = []
-            for text in batch.column(0):
-                words = {w[:_LONGEST] for w in _WORD.findall(text.as_py().lower())}
-                z = model.intercept + sum(weights[w] for w in sorted(words & whole))
-                for n, known in starts.items():
-                    begun = {w[:n] for w in words if len(w) > n} & known
-                    z += sum(weights[w + "*"] for w in sorted(begun))
-                scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(scores, pa.float64())], names=["row", "score"]
-            )
-
-    schema = T.StructType().add("row", docs.schema).add("score", T.DoubleType())
-    return docs.select(text_of(F.col("text")).alias("text"), F.struct("*").alias("row")).mapInArrow(
-        run, schema
-    )
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
+        found = []
+        for text in texts:
+            known = weights.keys() & features_of(text.as_py())
+            z = model.intercept + sum(weights[f] for f in sorted(known))
+            found.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return pa.array(found, pa.float64())
+
+    return scores(text_of(text))
 
 
 def scored(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> DataFrame:
@@ -242,7 +262,7 @@ def scored(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> DataFram
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     model = fit(docs, labels, rules)
 
-    rows = with_score(slim, model).select(F.col("row.doc_id").alias("doc_id"), "score")
+    rows = slim.select("doc_id", score(F.col("text"), model).alias("score"))
     return rows.select(
         "doc_id",
         (fold_of(F.col("doc_id")) == 0).alias("held_out"),
@@ -253,4 +273,7 @@ def scored(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> DataFram
 
 def accepted(docs: DataFrame, labels: DataFrame, rules: Rules = RULES) -> DataFrame:
     """The rows of ``docs`` whose score is below one half, with their columns."""
-    return with_score(docs, fit(docs, labels, rules)).filter("score < 0.5").select("row.*")
+    columns = [F.col("row")[c].alias(c) for c in docs.columns]
+    model = fit(docs, labels, rules)
+    judged = docs.select(F.struct("*").alias("row"), score(F.col("text"), model).alias("score"))
+    return judged.filter("score < 0.5").select(*columns)
