@@ -18,7 +18,6 @@ Only distinct fingerprints are indexed: copies of a text share one entry.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -26,7 +25,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from seriesengine.llm.common import text_of
 from seriesengine.llm.components import components
@@ -73,27 +71,16 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes())
 
 
-def with_fingerprint(
-    docs: DataFrame, words: int = SHINGLE_WORDS, with_row: bool = False
-) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer, of every row.
-
-    With ``with_row`` also the whole row as the struct ``row``.
-    """
+def fingerprint_of(text: Column, words: int = SHINGLE_WORDS) -> Column:
+    """The fingerprint of a text, null as empty, as a signed 64-bit integer. Only texts go
+    to the Python workers."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [fingerprint(t.as_py(), words) for t in batch.column(1)]
-            signed = pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
-            columns = [batch.column(0), signed, *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "row"][: len(columns)])
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        values = [fingerprint(t.as_py(), words) for t in texts]
+        return pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
 
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")]
-    schema = T.StructType().add("doc_id", T.LongType()).add("fp", T.LongType())
-    if with_row:
-        columns.append(F.struct("*").alias("row"))
-        schema = schema.add("row", docs.schema)
-    return docs.select(*columns).mapInArrow(run, schema)
+    return run(text_of(text))
 
 
 def _byte(value: Column, position: int) -> Column:
@@ -202,7 +189,13 @@ def near_duplicates(
     Null and empty texts have the fingerprint zero and are linked like any other. A
     repeated row or id is a row of its own; an empty table gives an empty one.
     """
-    rows, _ = materialize(with_fingerprint(docs, words), "simhash")
+    fp = fingerprint_of(F.col("text"), words)
+    rows, _ = materialize(docs.select(F.col("doc_id").cast("long"), fp.alias("fp")), "simhash")
+    return _classes(rows, max_bits)
+
+
+def _classes(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``near_duplicates`` of stored rows of ``doc_id, fp``."""
     owners, _ = materialize(
         rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-distinct"
     )
@@ -228,13 +221,18 @@ def one_per_group(
 
     Null ids come last. Of rows that share id and fingerprint one stays.
     """
-    found = near_duplicates(docs, words, max_bits)
+    columns = [F.col("row")[c].alias(c) for c in docs.columns]
+    fp = fingerprint_of(F.col("text"), words)
+    rows, _ = materialize(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), fp.alias("fp"), F.struct("*").alias("row")),
+        "simhash-rows",
+    )
+    found = _classes(rows.select("doc_id", "fp"), max_bits)
     first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "fp"))
     stays = found.groupBy("component").agg(first.alias("first")).select(
         F.col("first.doc_id").alias("_id"), F.col("first.fp").alias("_fp")
     )
-    rows = with_fingerprint(docs, words, with_row=True)
     kept = rows.join(
         stays, rows["doc_id"].eqNullSafe(stays["_id"]) & (rows["fp"] == stays["_fp"]), "left_semi"
     )
-    return kept.dropDuplicates(["doc_id", "fp"]).select("row.*")
+    return kept.dropDuplicates(["doc_id", "fp"]).select(*columns)
