@@ -263,7 +263,8 @@ def mixed(docs: DataFrame, key: int = KEY, with_places: bool = False) -> DataFra
     A document of which nothing is taken is left out. One that is taken once as a
     whole keeps its text; of others, the text is what is taken, words joined by
     spaces, and what is taken again follows on a line of its own. ``n_chars``, where
-    present, is renewed. ``with_places`` adds the column ``places`` of ``taken``.
+    present, is renewed. ``with_places`` adds the column ``places`` of ``taken``, in
+    place of one that is there.
     """
     rows = keyed(docs, with_text=True)
     of, _ = materialize(sources(rows), "mixing-sources")
@@ -294,6 +295,8 @@ def mixed(docs: DataFrame, key: int = KEY, with_places: bool = False) -> DataFra
     out = rows.join(lists, "row").select("doc", text.alias("text"), _places(F.col("parts")).alias("places"))
     columns = []
     for field in docs.schema.fields:
+        if with_places and field.name == "places":
+            continue
         if field.name == "text":
             columns.append(F.col("text"))
         elif field.name == "n_chars":

@@ -21,10 +21,11 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
 
 # Patterns. A match may begin inside a run of its first class only where the match
-# before it ended; from anywhere else in the run it would go on in the same way.
+# before it ended, and not at all if a match cannot end inside such a run; from anywhere
+# else in the run it would go on in the same way.
 _RUN = r"(?:\G|(?<![A-Za-z0-9._%+-]))"
 EMAIL = _RUN + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-IP = r"[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
+IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"

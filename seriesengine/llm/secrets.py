@@ -25,7 +25,7 @@ _LEAD = _NAME + r"[\x22']?\x20*[:=]\x20*[\x22']?"
 ASSIGN = _LEAD + r"[A-Za-z0-9+/_.=-]++"
 ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"[0-9a-f]++"
-JWT = r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{16,}+"
+JWT = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{16,}+"
 PEM = r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
 TOKEN = r"(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{20,}+|sk_live_[A-Za-z0-9]{20,}+)"
 
