@@ -21,6 +21,10 @@ class Files:
     def _path(self, path: str):
         return self._fs.makeQualified(self._hadoop.Path(path))
 
+    def qualified(self, path: str) -> str:
+        """The path with its scheme."""
+        return self._path(path).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
