@@ -52,7 +52,9 @@ class Encoder:
             special_tokens={},
         )
         self._plain = encoding.encode_ordinary
-        self._piece = encoding._encode_single_piece
+        self._sizes = np.zeros(max(merges.values()) + 1, np.int64)
+        for token, i in merges.items():
+            self._sizes[i] = len(token)
         self._full = Tokenizer.from_file(vocabulary)
         special = [t.content for t in self._full.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
@@ -64,16 +66,28 @@ class Encoder:
             return array("I", self._full.encode(text, add_special_tokens=False).ids).tobytes()
         return array("I", self._plain(text)).tobytes()
 
-    def _new_word(self, word: str) -> bytes:
-        """Ids of a word that follows a space, or _ODD if its text must stay whole."""
-        if not word or word[0].isspace() or word[-1].isspace() or self._special.search(word):
-            ids = _ODD
-        else:
-            ids = self._piece(" " + word) if word.isalpha() else self._plain(" " + word)
-            ids = array("I", ids).tobytes()
-        if len(self._words) < CACHED_WORDS and len(word) <= CACHED_CHARS:
-            self._words[word] = ids
-        return ids
+    def _new_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that follow a space each, or _ODD where a text must stay whole.
+
+        They are encoded in one go; every token ends in the word in which it begins.
+        """
+        found = dict.fromkeys(words, _ODD)
+        own = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        if self._special.search(" ".join(own)):
+            own = [w for w in own if not self._special.search(w)]
+        if own:
+            ids = np.array(self._plain(" " + " ".join(own)), np.int64)
+            edges = np.cumsum([len(w.encode()) + 1 for w in own])
+            stops = np.searchsorted(np.cumsum(self._sizes[ids]), edges, "right").tolist()
+            raw, start = ids.astype("<u4").tobytes(), 0
+            for word, stop in zip(own, stops, strict=True):
+                found[word] = raw[4 * start : 4 * stop]
+                start = stop
+        room = CACHED_WORDS - len(self._words)
+        if room > 0:
+            kept = [w for w in words if len(w) <= CACHED_CHARS][:room]
+            self._words.update((w, found[w]) for w in kept)
+        return found
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, without ends; a null text has none."""
@@ -111,10 +125,9 @@ class Encoder:
         words = split.flatten().dictionary_encode()
         known = words.dictionary.to_pylist()
         index = words.indices.to_numpy().astype(np.int64)
-        ids = [
-            self._new_word(word) if found is None else found
-            for word, found in zip(known, map(self._words.get, known), strict=True)
-        ]
+        cached = list(map(self._words.get, known))
+        fresh = self._new_words([w for w, found in zip(known, cached, strict=True) if found is None])
+        ids = [fresh[w] if found is None else found for w, found in zip(known, cached, strict=True)]
         odd = np.fromiter(map(len, ids), np.int64, len(ids)) == len(_ODD)
         odd_before = np.concatenate([[0], np.cumsum(odd[index])])
         whole = odd_before[first_word[1:]] > odd_before[first_word[:-1]]

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -33,6 +34,10 @@ from pyspark.sql import functions as F
 from seriesengine.llm.common import text_of
 from seriesengine.llm.tokens import END_ID, RANKS, VOCABULARY, encoder
 from seriesengine.scratch import materialize
+from seriesengine.sources.files import Files
+
+# Sequences that are sorted into shards together, unless one text has more.
+_TOGETHER = 16_384
 
 _SPLITS = "spark.sql.files.minPartitionNum"
 
@@ -113,13 +118,15 @@ def materialise(
     Returns one row per sequence: ``slot, shard, byte_offset, doc_id, start, length,
     crc32`` of its ids (without padding). ``docs`` is a table read from files, since it
     is read twice and must be split alike; a task that meets other rows than were
-    counted fails. ``root`` is a folder that all executors reach, as a path or URI. A
+    counted fails. ``root`` is a folder that all executors reach; a path without a scheme
+    belongs to Spark's default file system, as for every reader and writer of Spark. A
     shard is written under another name and renamed, so a task that runs again replaces
     its file by an equal one. Null texts are empty: one sequence that holds the end id
     alone. Repeated rows are written as often as they occur; a null id stays null; an
     empty table writes nothing.
     """
     spark = docs.sparkSession
+    root = Files(spark, root).qualified(root)
     rows = docs.select(text_of(F.col("text")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
 
     def count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,79 +160,121 @@ def _written(
     vocabulary: str,
     ranks: str,
 ) -> DataFrame:
+    """Shuffle the sequences to their shards and write these.
+
+    What some texts give to one shard travels as one row, packed together. A task holds
+    one shard at a time, ``per_shard * stride`` bytes, and puts each sequence in its place.
+    """
+
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, ranks).encode
         pack = zstandard.ZstdCompressor(level=1)
         number, end = firsts[TaskContext.get().partitionId()]
         for batch in batches:
-            found: list[tuple] = []
-            doc_ids = batch.column(1).to_pylist()
-            for doc_id, ids in zip(doc_ids, encode(batch.column(0)), strict=True):
-                ids = np.append(ids, END_ID).astype("<u2")
-                for start in range(0, len(ids), layout.length):
-                    own = ids[start : start + layout.length]
-                    found.append((number, doc_id, start, len(own), pack.compress(own.tobytes())))
-                    number += 1
-                if len(found) >= 20_000:
-                    yield _batch(found)
-                    found = []
-            yield _batch(found)
+            blocks: list[np.ndarray] = []
+            owners, lengths, held = [], [], 0
+            for row, ids in enumerate(encode(batch.column(0))):
+                size = len(ids) + 1
+                pieces = -(-size // layout.length)
+                block = np.full(pieces * layout.length, layout.pad, "<u2")
+                block[: size - 1] = ids
+                block[size - 1] = END_ID
+                blocks.append(block.reshape(pieces, layout.length))
+                owners.append(np.full(pieces, row))
+                lengths.append(size)
+                held += pieces
+                if held >= _TOGETHER:
+                    yield _by_shard(batch, blocks, owners, lengths, number, pack)
+                    number, held = number + held, 0
+                    blocks, owners, lengths = [], [], []
+            if held:
+                yield _by_shard(batch, blocks, owners, lengths, number, pack)
+                number += held
         if number != end:
             raise RuntimeError("the table was split in another way than when it was counted")
 
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        slots = slots_of(np.array(columns[0], np.int64), count, layout.key, layout.rounds)
-        columns[0] = slots.tolist()
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=["slot", "doc_id", "start", "length", "ids"])
+    def _by_shard(batch, blocks, owners, lengths, number, pack) -> pa.RecordBatch:
+        ids, owner = np.concatenate(blocks), np.concatenate(owners)
+        at = np.concatenate([np.arange(len(b)) * layout.length for b in blocks])
+        size = np.minimum(np.repeat(lengths, [len(b) for b in blocks]) - at, layout.length)
+        slots = slots_of(number + np.arange(len(ids)), count, layout.key, layout.rounds)
+        order = np.argsort(slots)
+        slots = slots[order]
+        shards = slots // layout.per_shard
+        edges = np.append(np.flatnonzero(np.diff(shards, prepend=-1)), len(shards))
+        packed = [
+            pack.compress(ids[order[start:stop]].tobytes())
+            for start, stop in zip(edges[:-1], edges[1:], strict=True)
+        ]
+        offsets = pa.array(edges.astype(np.int32))
+        doc_ids = batch.column(1).take(pa.array(owner[order]))
+        lists = [pa.array(slots), doc_ids, pa.array(at[order]), pa.array(size[order])]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(shards[edges[:-1]]),
+                *(pa.ListArray.from_arrays(offsets, values) for values in lists),
+                pa.array(packed, pa.binary()),
+            ],
+            names=["shard", "slots", "doc_ids", "starts", "lengths", "ids"],
+        )
 
-    cut = rows.mapInArrow(sequences, "slot long, doc_id long, start long, length long, ids binary")
-    shard = F.floor(F.col("slot") / layout.per_shard)
+    cut = rows.mapInArrow(
+        sequences,
+        "shard long, slots array<long>, doc_ids array<long>, starts array<long>, "
+        "lengths array<long>, ids binary",
+    )
     shards = max(1, -(-count // layout.per_shard))
     root = root.rstrip("/")
-    placed = (
-        cut.withColumn("shard", shard)
-        .repartitionById(shards, F.col("shard").cast("int"))
-        .sortWithinPartitions("slot")
-    )
+    placed = cut.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         files, base = _store(root)
         files.create_dir(base, recursive=True)
-        name = stream = temporary = None
-
-        def close() -> None:
-            if stream is not None:
-                stream.close()
-                files.move(temporary, name)
-
-        for batch in batches:
-            shards_of = batch.column(5).to_pylist()
-            crcs, offsets = [], []
-            for slot, size, packed, shard in zip(
-                batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(4), shards_of, strict=True
-            ):
-                target = f"{base}/shard-{shard:08d}.bin"
-                if target != name:
-                    close()
-                    name, temporary = target, f"{base}/_{shard:08d}-{uuid.uuid4().hex}"
-                    stream = files.open_output_stream(temporary)
-                own = unpack.decompress(packed.as_py())
-                crcs.append(zlib.crc32(own))
-                offsets.append(slot % layout.per_shard * layout.stride)
-                padding = np.full(layout.length - size, layout.pad, "<u2").tobytes()
-                stream.write(own + padding)
-            yield pa.RecordBatch.from_arrays(
+        shard, parts = None, []
+
+        def closed() -> pa.RecordBatch:
+            first = shard * layout.per_shard
+            size = min(layout.per_shard, count - first)
+            block = np.full((size, layout.length), layout.pad, "<u2")
+            columns = []
+            for slots, packed, *more in parts:
+                ids = np.frombuffer(unpack.decompress(packed), "<u2").reshape(-1, layout.length)
+                block[slots - first] = ids
+                columns.append((pa.array(slots), *more))
+            slots, doc_ids, starts, lengths = (pa.concat_arrays(c) for c in zip(*columns, strict=True))
+            order = pc.sort_indices(slots)
+            slots, doc_ids, starts, lengths = (c.take(order) for c in (slots, doc_ids, starts, lengths))
+            if not np.array_equal(slots.to_numpy(), first + np.arange(size)):
+                raise RuntimeError(f"shard {shard} does not have one sequence in each slot")
+            temporary = f"{base}/_{shard:08d}-{uuid.uuid4().hex}"
+            with files.open_output_stream(temporary) as stream:
+                stream.write(block.tobytes())
+            files.move(temporary, f"{base}/shard-{shard:08d}.bin")
+            crcs = [zlib.crc32(block[i, :n].tobytes()) for i, n in enumerate(lengths.to_pylist())]
+            return pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(5), pa.array(offsets, pa.int64()),
-                    *batch.columns[1:4], pa.array(crcs, pa.int64()),
+                    slots,
+                    pa.array(np.full(size, shard)),
+                    pa.array(np.arange(size) * layout.stride),
+                    doc_ids,
+                    starts,
+                    lengths,
+                    pa.array(crcs, pa.int64()),
                 ],
                 names=["slot", "shard", "byte_offset", "doc_id", "start", "length", "crc32"],
             )
-        close()
+
+        for batch in batches:
+            for i, own in enumerate(batch.column(0).to_pylist()):
+                if own != shard:
+                    if parts:
+                        yield closed()
+                    shard, parts = own, []
+                lists = [batch.column(c)[i].values for c in range(1, 5)]
+                parts.append((lists[0].to_numpy(), batch.column(5)[i].as_py(), *lists[1:]))
+        if parts:
+            yield closed()
 
     return placed.mapInArrow(
         write,
@@ -234,7 +283,8 @@ def _written(
 
 
 def read_sequences(root: str, first: int, count: int, layout: Layout = LAYOUT) -> Iterator[np.ndarray]:
-    """Ids of ``count`` sequences from slot ``first`` on, padding included."""
+    """Ids of ``count`` sequences from slot ``first`` on, padding included; a slot behind the
+    last is an error."""
     files, base = _store(root)
     slot = first
     while slot < first + count:
@@ -242,5 +292,8 @@ def read_sequences(root: str, first: int, count: int, layout: Layout = LAYOUT) -
         with files.open_input_file(f"{base}/shard-{shard:08d}.bin") as stream:
             stream.seek(place * layout.stride)
             for _ in range(min(layout.per_shard - place, first + count - slot)):
-                yield np.frombuffer(stream.read(layout.stride), "<u2")
+                ids = stream.read(layout.stride)
+                if len(ids) < layout.stride:
+                    raise ValueError(f"slot {slot} lies behind the last sequence")
+                yield np.frombuffer(ids, "<u2")
                 slot += 1
