@@ -199,8 +199,8 @@ def _classes(rows: DataFrame, max_bits: int) -> DataFrame:
     owners, _ = materialize(
         rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-distinct"
     )
-    labels = components(links(owners.select("fp"), max_bits))
-    classes = owners.join(labels.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
+    labels = _labels(owners.select("fp"), max_bits)
+    classes = owners.join(labels, "fp", "left").select(
         "fp", "doc_id", F.coalesce("component", "fp").alias("component")
     )
     smallest = classes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -214,25 +214,35 @@ def _classes(rows: DataFrame, max_bits: int) -> DataFrame:
     )
 
 
+def _labels(fingerprints: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, component`` of the distinct fingerprints that are linked to others."""
+    stored, _ = materialize(fingerprints, "simhash-fingerprints")
+    labels = components(links(stored, max_bits))
+    return labels.select(F.col("node").alias("fp"), "component")
+
+
 def one_per_group(
     docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the one with the smallest ``doc_id``.
 
-    Null ids come last. Of rows that share id and fingerprint one stays.
+    Null ids come last, and of rows that share the smallest id one with the smallest
+    fingerprint stays. Rows are stored once beside their fingerprints; classes are found
+    on those alone.
     """
     columns = [F.col("row")[c].alias(c) for c in docs.columns]
     fp = fingerprint_of(F.col("text"), words)
     rows, _ = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), fp.alias("fp"), F.struct("*").alias("row")),
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            fp.alias("fp"),
+            F.monotonically_increasing_id().alias("place"),
+            F.struct("*").alias("row"),
+        ),
         "simhash-rows",
     )
-    found = _classes(rows.select("doc_id", "fp"), max_bits)
-    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "fp"))
-    stays = found.groupBy("component").agg(first.alias("first")).select(
-        F.col("first.doc_id").alias("_id"), F.col("first.fp").alias("_fp")
-    )
-    kept = rows.join(
-        stays, rows["doc_id"].eqNullSafe(stays["_id"]) & (rows["fp"] == stays["_fp"]), "left_semi"
-    )
-    return kept.dropDuplicates(["doc_id", "fp"]).select(*columns)
+    labels = _labels(rows.select("fp").distinct(), max_bits)
+    named = rows.select("doc_id", "fp", "place").join(labels, "fp", "left")
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "fp", "place"))
+    stays = named.groupBy(F.coalesce("component", "fp").alias("component")).agg(first["place"].alias("place"))
+    return rows.join(stays, "place", "left_semi").select(*columns)

@@ -38,7 +38,7 @@ _LONGEST = 40
 _PIECE = 4
 
 # Features that a task counts before it hands the counts on.
-_COUNTED = 400_000
+_COUNTED = 200_000
 
 
 @dataclass(frozen=True)
