@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesengine.sinks.exports import path_bytes, path_exists, read_array
+from seriesengine.sinks.exports import content_hash, path_bytes, path_exists, read_array
 
 FRESH_DAYS = 7
 
@@ -46,15 +46,8 @@ def readable(
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and order-free content hash.
-
-    The hash skips nulls, so which columns are null is hashed beside the values.
-    """
-    nulls = [F.isnull(c) for c in df.columns]
-    content = F.sum(F.xxhash64(*df.columns, *nulls).cast("decimal(20,0)"))
-    return df.agg(
-        F.count("*").alias("rows"), F.coalesce(content, F.lit(0)).cast("string").alias("content")
-    )
+    """Row count and order-free content hash."""
+    return df.agg(F.count("*").alias("rows"), content_hash(df).alias("content"))
 
 
 def changed(new: DataFrame, old: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from seriesengine.functions.numeric import (
     signed_whole_text,
     zscore,
 )
+from seriesengine.operators.events import with_event_key
 from seriesengine.operators.layout import (
     CHUNK,
     POS,
@@ -195,6 +196,7 @@ def _analogue(
     keys: tuple[str, ...],
     layout: Layout,
     rules: StatusRules,
+    periods: DataFrame | None = None,
 ) -> DataFrame:
     """Nearest earlier row in z-scored price, volatility and momentum.
 
@@ -223,21 +225,43 @@ def _analogue(
         .agg(F.min(F.struct("_distance", DATE, SLOW)).alias("_nearest"))
     )
     day = F.col(f"_nearest.{DATE}")
-    return nearest.select(
+    found = nearest.select(
         *keys,
+        day.alias("_day"),
         day.cast("string").alias("week"),
         round_even(F.col(f"_nearest.{SLOW}"), 3).alias("price_then"),
         round_even(1 / (1 + F.col("_nearest._distance")), 3).alias("similarity_score"),
-        event_key(day).alias("narrative_key"),
     )
+    if periods is None:
+        return found.withColumn("narrative_key", event_key(F.col("_day"))).drop("_day")
+    return with_event_key(found, "_day", periods).drop("_day")
 
 
-def historical_analogue(series: Series, rules: StatusRules | None = None) -> DataFrame:
-    """Closest earlier state of each series that has one."""
+def historical_analogue(
+    series: Series, rules: StatusRules | None = None, periods: DataFrame | None = None
+) -> DataFrame:
+    """Closest earlier state of each series that has one, with the named event of its day;
+    ``periods`` (``first, last, key``) replace the known events."""
     rules = rules or StatusRules()
     rows = _stored_features(series, rules)
     state = _state(rows, series.keys, series.layout, rules)
-    return public(_analogue(rows, state, series.keys, series.layout, rules), series.keys)
+    return public(_analogue(rows, state, series.keys, series.layout, rules, periods), series.keys)
+
+
+def status_counts(series: Series, rules: StatusRules | None = None) -> DataFrame:
+    """``as_of_date, regime, regime_segments`` of each series. Segments are counted as
+    rows; nothing of a series is collected."""
+    rules = rules or StatusRules()
+    rows = _stored_features(series, rules)
+    state = _state(rows, series.keys, series.layout, rules)
+    segments = regime_segments(series, rules).groupBy(*series.keys).agg(F.count("*").alias("regime_segments"))
+    counted = state.join(segments, list(series.keys), "left").select(
+        *series.keys,
+        F.col("as_of").cast("string").alias("as_of_date"),
+        "regime",
+        F.coalesce("regime_segments", F.lit(0)).alias("regime_segments"),
+    )
+    return public(counted, series.keys)
 
 
 def _snapshot(series: Series, rules: StatusRules) -> DataFrame:

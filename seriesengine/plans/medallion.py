@@ -50,9 +50,9 @@ def ingest_daily(
 def ingest_weekly(spark: SparkSession, catalog: Catalog, path: str, moment: datetime) -> None:
     """Land one batch of API pages, refusing an incomplete one."""
     pages = landing.read_api_pages(spark, path)
-    records, total, complete = landing.page_completeness(pages).first()
-    if not complete:
-        raise ValueError(f"{path} holds {records} of {total} records")
+    found = landing.page_completeness(pages).first()
+    if not found["complete"]:
+        raise ValueError(f"{path} holds {found['records']} of {found['total']} records, or some twice: {found}")
     batch = _only_batch(landing.weekly_batch(pages, moment))
     replace_partition(batch, catalog.weekly_raw, fmt=catalog.fmt)
     _report("raw weekly", batch, "period")
@@ -94,21 +94,21 @@ def export_all(
     sweep = read_table(spark, catalog.lag, catalog.fmt)
     ranking = read_table(spark, catalog.shocks, catalog.fmt)
     series = index_series(gold, layout=params.layout)
-    document, _ = materialize(status.status_document(series, params.status), "document")
+    document = status.status_document(series, params.status)
 
     folder = catalog.exports
-    exports.export_array(gold, DATE, f"{folder}/price_timeline.json")
-    exports.export_array(sweep, "lag_days", f"{folder}/wti_diesel_lag.json")
-    exports.export_array(ranking, "rank", f"{folder}/fuel_shocks.json")
-    exports.export_document(document, f"{folder}/diesel_status.json")
-
-    stats = {
-        "price_timeline": exports.timeline_stats(gold, DATE),
-        "wti_diesel_lag": exports.lag_stats(sweep),
-        "fuel_shocks": exports.shock_stats(ranking),
-        "diesel_status": exports.status_stats(document),
+    arrays = {
+        "price_timeline": (gold, DATE, exports.timeline_metrics(DATE)),
+        "wti_diesel_lag": (sweep, "lag_days", exports.lag_metrics()),
+        "fuel_shocks": (ranking, "rank", exports.shock_metrics()),
     }
-    tables = {name: df.first().asDict() for name, df in stats.items()}
+    tables = {
+        name: exports.statistics(exports.export_array(df, order, f"{folder}/{name}.json", **metrics))
+        for name, (df, order, metrics) in arrays.items()
+    }
+    tables["diesel_status"] = exports.export_document(
+        document, f"{folder}/diesel_status.json", **exports.document_metrics()
+    )
     exports.write_manifest(
         spark, tables, str(tables["price_timeline"]["max_date"]), folder, moment
     )

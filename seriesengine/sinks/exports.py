@@ -75,6 +75,51 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return Files(spark, path).bytes(path)
 
 
+class Staged:
+    """Rows of an export on scratch, with what their one run observed.
+
+    ``df`` runs once: the write of its rows observes their number, their content, the ends
+    of the order, the places without nulls and ``metrics``, aggregates of ``df``.
+    """
+
+    def __init__(self, df: DataFrame, order: Sequence[str], metrics: dict[str, Column]) -> None:
+        place = F.struct(*order)
+        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in order])
+        self.order = list(order)
+        self.rows, seen = materialize(
+            df,
+            "export-rows",
+            **metrics,
+            _rows=F.count("*"),
+            _content=content_hash(df),
+            _placed=F.count_if(complete),
+            _first=F.min(place),
+            _last=F.max(place),
+        )
+        self.count = seen.get("_rows") or 0
+        self.content = str(seen.get("_content") or 0)
+        self.placed = seen.get("_placed") or 0
+        self.first, self.last = seen.get("_first"), seen.get("_last")
+        self.metrics = {name: seen.get(name) for name in metrics}
+
+    def write(self, path: str, parts: bool = False) -> dict[str, object]:
+        """Write the rows as a JSON array; refuses nulls and repeats in the order."""
+        if not self.count:
+            empty = self.rows.sparkSession.range(1).select(F.lit("[]").alias("value"))
+            publish_text(empty, path)
+            return {"rows": 0, "first": None, "last": None, **self.metrics}
+        repeats = self.rows.groupBy(*self.order).count().filter("count > 1").limit(1).count()
+        if self.placed != self.count or repeats:
+            raise ValueError(f"the order {self.order} has nulls or repeats in {self.count} rows")
+        lines = array_lines(self.rows, self.order, self.first, self.last)
+        if parts:
+            lines.orderBy(*self.order).select("value").write.mode("overwrite").text(path)
+        else:
+            publish_text(lines.repartition(1).sortWithinPartitions(*self.order), path)
+        first, last = (tuple(e) if len(self.order) > 1 else e[0] for e in (self.first, self.last))
+        return {"rows": self.count, "first": first, "last": last, **self.metrics}
+
+
 def export_array(
     df: DataFrame,
     order: str | Sequence[str],
@@ -88,38 +133,10 @@ def export_array(
     folder whose part files, in name order, hold the same array, so that no task sees
     all rows. Nulls and repeats in the order are refused. Returns the row count, both
     ends (with several columns an end is a tuple), and ``metrics``, aggregates of ``df``.
-
-    ``df`` runs once: its rows are written to the scratch folder, which observes their
-    number, the ends of the order, the null places and the metrics. Everything after
-    that reads the written rows, for repeats only their order columns.
+    ``df`` runs once; what follows reads its staged rows, for repeats only their order.
     """
     order = [order] if isinstance(order, str) else list(order)
-    place = F.struct(*order)
-    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in order])
-    staged, seen = materialize(
-        df,
-        "export-rows",
-        **metrics,
-        _rows=F.count("*"),
-        _placed=F.count_if(complete),
-        _first=F.min(place),
-        _last=F.max(place),
-    )
-    rows, first, last = (seen.get(c) for c in ("_rows", "_first", "_last"))
-    measured = {name: seen.get(name) for name in metrics}
-    if not rows:
-        publish_text(df.sparkSession.range(1).select(F.lit("[]").alias("value")), path)
-        return {"rows": 0, "first": None, "last": None, **measured}
-    repeats = staged.groupBy(*order).count().filter("count > 1").limit(1).count()
-    if seen["_placed"] != rows or repeats:
-        raise ValueError(f"the order {order} has nulls or repeats in {rows} rows")
-    lines = array_lines(staged, order, first, last)
-    if parts:
-        lines.orderBy(*order).select("value").write.mode("overwrite").text(path)
-    else:
-        publish_text(lines.repartition(1).sortWithinPartitions(*order), path)
-    ends = [tuple(end) if len(order) > 1 else end[0] for end in (first, last)]
-    return {"rows": rows, "first": ends[0], "last": ends[1], **measured}
+    return Staged(df, order, metrics).write(path, parts)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -150,12 +167,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def export_document(df: DataFrame, path: str) -> None:
-    """Export a one-row frame as a single JSON document; others are refused."""
-    staged, seen = materialize(df, "document-row", rows=F.count("*"))
-    if seen.get("rows") != 1:
-        raise ValueError(f"a document is one row, found {seen.get('rows') or 0}")
+def export_document(df: DataFrame, path: str, **metrics: Column) -> dict[str, object]:
+    """Export a one-row frame as a single JSON document; others are refused. Returns
+    ``metrics``, aggregates of the frame, which runs once."""
+    staged, seen = materialize(df, "document-row", **metrics, _rows=F.count("*"))
+    if seen.get("_rows") != 1:
+        raise ValueError(f"a document is one row, found {seen.get('_rows') or 0}")
     publish_text(staged.select(json_text(staged).alias("value")), path)
+    return {name: seen.get(name) for name in metrics}
 
 
 def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -171,43 +190,50 @@ def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.text(path).filter(F.col("value") != "[]").select(parsed.alias("r")).select("r.*")
 
 
-def timeline_stats(timeline: DataFrame, day: str) -> DataFrame:
-    text = [f(day).cast("string") for f in (F.min, F.max)]
-    return timeline.agg(
-        F.count("*").alias("rows"), text[0].alias("min_date"), text[1].alias("max_date")
-    )
+def content_hash(df: DataFrame) -> Column:
+    """Order-free hash of all rows, an aggregate.
+
+    The hash of a row skips nulls, so which columns are null is hashed beside the values.
+    """
+    nulls = [F.isnull(c) for c in df.columns]
+    content = F.sum(F.xxhash64(*df.columns, *nulls).cast("decimal(20,0)"))
+    return F.coalesce(content, F.lit(0)).cast("string")
+
+
+# Statistics of an export are aggregates that its one run observes.
+
+
+def timeline_metrics(day: str) -> dict[str, Column]:
+    return {"min_date": F.min(day).cast("string"), "max_date": F.max(day).cast("string")}
 
 
-def lag_stats(sweep: DataFrame) -> DataFrame:
+def lag_metrics() -> dict[str, Column]:
     best = F.min(F.when(F.col("is_optimal"), F.struct("lag_days", "correlation")))
-    return sweep.agg(F.count("*").alias("rows"), best.alias("_best")).select(
-        "rows",
-        F.col("_best.lag_days").alias("optimal_lag_days"),
-        round_even(F.col("_best.correlation"), 4).alias("optimal_correlation"),
-    )
+    return {
+        "optimal_lag_days": best["lag_days"],
+        "optimal_correlation": round_even(best["correlation"], 4),
+    }
 
 
-def shock_stats(shocks: DataFrame) -> DataFrame:
+def shock_metrics() -> dict[str, Column]:
     top = F.col("rank") == 1
-    return shocks.agg(
-        F.count("*").alias("rows"),
-        round_even(F.max(F.when(top, F.col(CHANGE))), 2).alias("top_event_pct_change"),
-        F.max(F.when(top, F.col("peak_date"))).cast("string").alias("top_event_date"),
-    )
+    return {
+        "top_event_pct_change": round_even(F.max(F.when(top, F.col(CHANGE))), 2),
+        "top_event_date": F.max(F.when(top, F.col("peak_date"))).cast("string"),
+    }
 
 
-def status_stats(document: DataFrame) -> DataFrame:
-    return document.select(
-        "as_of_date", "regime", F.size("regime_history").alias("regime_segments")
-    )
+def document_metrics() -> dict[str, Column]:
+    return {
+        "as_of_date": F.max("as_of_date"),
+        "regime": F.max("regime"),
+        "regime_segments": F.max(F.size("regime_history")),
+    }
 
 
-def as_long(stats: DataFrame, table: str) -> DataFrame:
-    """A one-row stats frame as ``table, stat, value`` rows."""
-    texts = stats.select([F.col(c).cast("string").alias(c) for c in stats.columns])
-    return texts.unpivot([], stats.columns, "stat", "value").select(
-        F.lit(table).alias("table"), "stat", "value"
-    )
+def statistics(exported: dict[str, object]) -> dict[str, object]:
+    """What a manifest says about an exported table: its rows and metrics, not its ends."""
+    return {name: value for name, value in exported.items() if name not in ("first", "last")}
 
 
 def manifest(
@@ -236,6 +262,44 @@ def write_manifest(
     return path
 
 
+def read_manifest(spark: SparkSession, folder: str) -> dict[str, object]:
+    """The manifest of a folder, empty if there is none. It is one small file."""
+    path = f"{folder}/manifest.json"
+    if not path_exists(spark, path):
+        return {}
+    return json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def publish(
+    spark: SparkSession,
+    tables: dict[str, tuple[DataFrame, str | Sequence[str]]],
+    folder: str,
+    data_through: str,
+    moment: datetime | None = None,
+    parts: bool = False,
+) -> dict[str, bool]:
+    """Export the tables whose content is not the published one; which were exported.
+
+    A table is a frame and its order, and goes to ``<name>.json``. The manifest keeps
+    each table's row count and content hash, so what was published is not read again: a
+    table runs once, its hash comes from that run, and an equal one that is still there is
+    left alone. The manifest is written last, and only if something was exported: a run
+    that breaks off exports again. Tables that it no longer lists leave the manifest.
+    """
+    before = read_manifest(spark, folder).get("tables", {})
+    done, entries = {}, {}
+    for name, (df, order) in tables.items():
+        path = f"{folder}/{name}.json"
+        staged = Staged(df, [order] if isinstance(order, str) else order, {})
+        entries[name] = {"rows": staged.count, "content": staged.content}
+        done[name] = before.get(name) != entries[name] or not path_exists(spark, path)
+        if done[name]:
+            staged.write(path, parts)
+    if any(done.values()) or before.keys() != entries.keys():
+        write_manifest(spark, entries, data_through, folder, moment)
+    return done
+
+
 def preview(shocks: DataFrame, keys: Sequence[str] = (), rows: int = 5) -> DataFrame:
     """First entries of a ranking."""
     return shocks.filter(F.col("rank") <= rows).orderBy(*keys, "rank")

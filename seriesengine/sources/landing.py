@@ -88,11 +88,74 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:
-    """Records landed against the total that the pages report."""
-    return pages.agg(
-        F.sum(F.size("response.data")).alias("records"),
-        F.max(F.col("response.total").cast("bigint")).alias("total"),
-    ).withColumn("complete", F.col("records") == F.col("total"))
+    """Whether the pages hold every record of the total they report, once.
+
+    A page covers the places from its offset on. Pages cover the total without gap or
+    overlap if no two begin or end at one place, and the only place where a page begins
+    and none ends is 0, and the only one where a page ends and none begins is the total.
+    So places are counted, in one grouping, and pages are never compared. Pages that do
+    not give their offset are complete if they sum up to the total and no two are equal.
+
+    One row: ``pages`` that hold records, ``records``, ``total``, ``repeated`` (places at
+    which several pages begin or end, or pages equal to another), ``breaks`` (places where
+    coverage is broken), ``complete``.
+    """
+    sized = pages.select(
+        F.col("request.params.offset").cast("bigint").alias("start"),
+        F.coalesce(F.size("response.data"), F.lit(0)).cast("bigint").alias("size"),
+        F.col("response.total").cast("bigint").alias("total"),
+        F.xxhash64("response.data").alias("content"),
+    )
+    held = F.col("size") > 0
+    summed = sized.agg(
+        F.count_if(held).alias("pages"),
+        F.sum("size").alias("records"),
+        F.max("total").alias("total"),
+        F.min("total").alias("_least_total"),
+        F.count_if(held & F.col("start").isNull()).alias("_unplaced"),
+        (F.count_if(held) - F.count_distinct(F.when(held, F.col("content")))).alias("_equal"),
+    )
+    ends = F.array(
+        F.struct(F.col("start").alias("at"), F.lit(1).alias("begin"), F.lit(0).alias("end")),
+        F.struct((F.col("start") + F.col("size")).alias("at"), F.lit(0).alias("begin"), F.lit(1).alias("end")),
+    )
+    places = (
+        sized.filter(held & F.col("start").isNotNull())
+        .select(F.inline(ends))
+        .groupBy("at")
+        .agg(F.sum("begin").alias("begin"), F.sum("end").alias("end"))
+    )
+    begins, ends_only = F.col("begin") > F.col("end"), F.col("begin") < F.col("end")
+    covered = places.agg(
+        F.count_if((F.col("begin") > 1) | (F.col("end") > 1)).alias("_repeated"),
+        F.count_if(begins).alias("_heads"),
+        F.count_if(ends_only).alias("_tails"),
+        F.min(F.when(begins, F.col("at"))).alias("_first"),
+        F.max(F.when(ends_only, F.col("at"))).alias("_last"),
+    )
+    both = summed.unionByName(covered, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    placed = F.col("_unplaced") == 0
+    off = (F.col("_first") != 0).cast("int") + (F.col("_last") != F.col("total")).cast("int")
+    breaks = F.when(F.col("pages") == 0, F.lit(0)).otherwise(
+        F.col("_heads") + F.col("_tails") - 2 + F.coalesce(off, F.lit(0))
+    )
+    same_total = F.col("total") == F.col("_least_total")
+    repeated = F.when(placed, F.col("_repeated")).otherwise(F.col("_equal"))
+    return one.select(
+        "pages",
+        "records",
+        "total",
+        repeated.alias("repeated"),
+        F.when(placed, breaks).alias("breaks"),
+        F.coalesce(
+            same_total
+            & (F.col("records") == F.col("total"))
+            & (repeated == 0)
+            & F.when(placed, breaks == 0).otherwise(F.lit(True)),
+            F.lit(False),
+        ).alias("complete"),
+    )
 
 
 def select_series(

@@ -96,9 +96,16 @@ _API_RECORD = T.StructType(
     ]
 )
 
-# One page of the API: the reported total and up to API_PAGE_SIZE records.
+# One page of the API: up to API_PAGE_SIZE records, the reported total of all pages, and
+# where the page was asked to begin; pages that do not say are told apart by content.
 API_PAGE = T.StructType(
     [
+        T.StructField(
+            "request",
+            T.StructType(
+                [T.StructField("params", T.StructType([T.StructField("offset", T.StringType())]))]
+            ),
+        ),
         T.StructField(
             "response",
             T.StructType(
@@ -107,6 +114,6 @@ API_PAGE = T.StructType(
                     T.StructField("data", T.ArrayType(_API_RECORD)),
                 ]
             ),
-        )
+        ),
     ]
 )

@@ -129,20 +129,66 @@ def test_manifest(spark, tmp_path):
     assert now.endswith("Z") and datetime.fromisoformat(now[:-1])
 
 
-def test_stats(spark):
+def test_statistics_are_observed_by_the_export(spark, tmp_path):
+    def exported(df, order, metrics):
+        return exports.statistics(exports.export_array(df, order, str(tmp_path / "a.json"), **metrics))
+
     sweep = spark.sql(
         "SELECT * FROM values (0, 0.5D, false), (2, 0.87654D, true), (1, 0.87654D, true)"
         " AS t(lag_days, correlation, is_optimal)"
     )
-    assert tuple(exports.lag_stats(sweep).first()) == (3, 1, 0.8765)
+    found = exported(sweep, "lag_days", exports.lag_metrics())
+    assert found == {"rows": 3, "optimal_lag_days": 1, "optimal_correlation": 0.8765}
     shocks = spark.sql(
         "SELECT * FROM values (2, 3.0D, date '2024-01-01'), (1, 30.125D, date '2024-06-01')"
         " AS t(rank, pct_change_28d, peak_date)"
     )
-    assert tuple(exports.shock_stats(shocks).first()) == (2, 30.12, "2024-06-01")
+    found = exported(shocks, "rank", exports.shock_metrics())
+    assert found == {"rows": 2, "top_event_pct_change": 30.12, "top_event_date": "2024-06-01"}
     assert [r["rank"] for r in exports.preview(shocks, rows=1).collect()] == [1]
     timeline = timeline_frame(spark, [1.0, 2.0])
-    assert tuple(exports.timeline_stats(timeline, "date").first()) == (2, "1998-11-19", "1998-11-20")
+    found = exported(timeline, "date", exports.timeline_metrics("date"))
+    assert found == {"rows": 2, "min_date": "1998-11-19", "max_date": "1998-11-20"}
+    found = exported(timeline.limit(0), "date", exports.timeline_metrics("date"))
+    assert found == {"rows": 0, "min_date": None, "max_date": None}
+
+
+def test_only_changed_tables_are_published(spark, tmp_path):
+    folder = str(tmp_path)
+    runs = spark.sparkContext.accumulator(0)
+
+    def watched(frame):
+        def see(batches):
+            for batch in batches:
+                runs.add(batch.num_rows)
+                yield batch
+
+        return frame.mapInArrow(see, frame.schema)
+
+    def publish(days, numbers, **more):
+        tables = {"days": (watched(days), "date"), "numbers": (watched(numbers), ["id"])}
+        return exports.publish(spark, tables, folder, "2024-12-31", **more)
+
+    days, numbers = timeline_frame(spark, range(40)), spark.range(10).toDF("id")
+    early = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    assert exports.read_manifest(spark, folder) == {}
+    assert publish(days, numbers, moment=early) == {"days": True, "numbers": True}
+    assert runs.value == 50
+    written = {p.name: p.stat().st_mtime_ns for p in tmp_path.iterdir()}
+    assert publish(days.repartition(6), numbers.repartition(3)) == {"days": False, "numbers": False}
+    assert runs.value == 100
+    assert {p.name: p.stat().st_mtime_ns for p in tmp_path.iterdir()} == written
+    assert exports.read_manifest(spark, folder)["generated_at"] == "2025-01-01T00:00:00Z"
+    assert publish(days, numbers.filter("id < 9")) == {"days": False, "numbers": True}
+    assert json.loads((tmp_path / "numbers.json").read_text()) == [{"id": i} for i in range(9)]
+    (tmp_path / "days.json").unlink()
+    assert publish(days, numbers.filter("id < 9")) == {"days": True, "numbers": False}
+    with pytest.raises(ValueError, match="repeats"):
+        publish(days, numbers.union(numbers))
+    assert publish(days, numbers.filter("id < 9")) == {"days": False, "numbers": False}
+    only = {"days": (days, "date")}
+    assert exports.publish(spark, only, folder, "2024-12-31") == {"days": False}
+    assert set(exports.read_manifest(spark, folder)["tables"]) == {"days"}
 
 
 @pytest.mark.parametrize(("as_of", "passed"), [("1998-11-27", True), ("1998-11-28", False)])

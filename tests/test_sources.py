@@ -60,12 +60,61 @@ def record(period, value, area="NUS", product="EPD2D"):
     }
 
 
-def write_pages(folder, pages, total):
+def write_pages(folder, pages, total, offsets=None):
     for i, data in enumerate(pages):
         body = {"response": {"total": str(total), "data": data}}
+        if offsets:
+            body["request"] = {"params": {"offset": offsets[i], "length": 5000}}
         (folder / f"p{i}.json").write_text(json.dumps(body, indent=1))
 
 
+def days(first, size):
+    return [record(f"2025-01-{d:02}", str(d)) for d in range(first + 1, first + size + 1)]
+
+
+# Pages as (offset, records), the total, and what is found: repeated, breaks, complete.
+COVERAGE = {
+    "whole": ([(0, 3), (3, 3), (6, 2)], 8, (0, 0, True)),
+    "whole with an empty page": ([(0, 3), (3, 5), (8, 0)], 8, (0, 0, True)),
+    "one page": ([(0, 4)], 4, (0, 0, True)),
+    "nothing to land": ([(0, 0)], 0, (0, 0, True)),
+    "first for second": ([(0, 3), (0, 3), (6, 2)], 8, (2, 2, False)),
+    "gap": ([(0, 3), (6, 2)], 8, (0, 2, False)),
+    "start missing": ([(3, 3), (6, 2)], 8, (0, 1, False)),
+    "end missing": ([(0, 3), (3, 3)], 8, (0, 1, False)),
+    "overlap of the right size": ([(0, 3), (2, 3), (6, 2)], 8, (0, 4, False)),
+    "beyond the total": ([(0, 3), (3, 6)], 8, (0, 1, False)),
+}
+
+
+@pytest.mark.parametrize("name", list(COVERAGE))
+def test_pages_must_cover_the_total_once(spark, tmp_path, name):
+    pages, total, (repeated, breaks, complete) = COVERAGE[name]
+    write_pages(tmp_path, [days(at, n) for at, n in pages], total, [at for at, _ in pages])
+    row = landing.page_completeness(landing.read_api_pages(spark, str(tmp_path))).first()
+    assert (row["repeated"], row["breaks"], row["complete"]) == (repeated, breaks, complete)
+    assert (row["pages"], row["records"]) == (sum(n > 0 for _, n in pages), sum(n for _, n in pages))
+
+
+def test_pages_without_offsets_are_told_apart_by_content(spark, tmp_path):
+    for name, pages, complete in (
+        ("whole", [days(0, 3), days(3, 3)], True),
+        ("twice", [days(0, 3), days(0, 3)], False),
+    ):
+        (tmp_path / name).mkdir()
+        write_pages(tmp_path / name, pages, 6)
+        row = landing.page_completeness(landing.read_api_pages(spark, str(tmp_path / name))).first()
+        assert (row["records"], row["total"], row["complete"]) == (6, 6, complete)
+        assert row["breaks"] is None
+
+
+def test_pages_that_report_different_totals_are_not_complete(spark, tmp_path):
+    write_pages(tmp_path, [days(0, 3)], 6, [0])
+    body = {"request": {"params": {"offset": 3}}, "response": {"total": "7", "data": days(3, 4)}}
+    (tmp_path / "q.json").write_text(json.dumps(body))
+    assert not landing.page_completeness(landing.read_api_pages(spark, str(tmp_path))).first()["complete"]
+
+
 def test_pages_are_flattened_and_selected(spark, tmp_path):
     pages = [
         [record("2025-01-06", "3.5"), record("2025-01-06", "9", area="R10")],

@@ -374,7 +374,8 @@ SELECT strftime(ts, '%Y-%m-%d') AS period, event_type AS product,
   CAST(user_id AS VARCHAR) AS process, value AS value
 FROM events WHERE event_type = 'purchase'""",
     "page_completeness": """
-SELECT count(*) AS records, count(*) AS total, true AS complete FROM events""",
+SELECT count(DISTINCT event_id // 5000) AS pages, count(*) AS records, count(*) AS total,
+  0 AS repeated, 0 AS breaks, true AS complete FROM events""",
     "partition_replace": """
 SELECT event_id, value AS value, '2024-06-29' AS ingestion_date FROM events
 UNION ALL
@@ -474,4 +475,77 @@ SELECT '2024-06-30T12:00:00Z' AS generated_at, max(date) AS data_through,
 SELECT 'changed' AS "check",
   count(*) FILTER (WHERE diesel_usd_gal IS NULL OR date = '1996-01-01') > 0 AS passed
 FROM ({_timeline()})""",
+    "page_gaps": """
+WITH sizes AS (SELECT event_id // 5000 AS page, count(*) AS n FROM events GROUP BY ALL),
+cases AS (
+  SELECT 'whole' AS landed, true AS placed, page, n FROM sizes
+  UNION ALL SELECT 'first for second', true, page, n FROM sizes WHERE page <> 1
+  UNION ALL SELECT 'first for second', true, page, n FROM sizes WHERE page = 0
+  UNION ALL SELECT 'second missing', true, page, n FROM sizes WHERE page <> 1
+  UNION ALL SELECT 'first twice', true, page, n FROM sizes
+  UNION ALL SELECT 'first twice', true, page, n FROM sizes WHERE page = 0
+  UNION ALL SELECT 'no offsets', false, page, n FROM sizes
+  UNION ALL SELECT 'no offsets, first for second', false, page, n FROM sizes WHERE page <> 1
+  UNION ALL SELECT 'no offsets, first for second', false, page, n FROM sizes WHERE page = 0),
+-- The second page ends the table at small scales, so that nothing begins behind the gap.
+last AS (SELECT max(page) AS page, (SELECT count(*) FROM events) AS total FROM sizes),
+summed AS (
+  SELECT landed, bool_and(placed) AS placed, count(*) AS pages, sum(n)::BIGINT AS records,
+    count(*) - count(DISTINCT c.page) AS equal FROM cases c GROUP BY landed)
+SELECT landed, pages, records, total,
+  CASE WHEN NOT placed THEN equal
+       WHEN landed IN ('first for second', 'first twice') THEN 2
+       ELSE 0 END AS repeated,
+  CASE WHEN NOT placed THEN NULL
+       WHEN landed = 'whole' THEN 0
+       WHEN landed = 'second missing' THEN CASE WHEN page = 0 THEN 0 WHEN page = 1 THEN 1 ELSE 2 END
+       WHEN landed = 'first for second' THEN CASE WHEN page = 0 THEN 0 WHEN page = 1 THEN 1 ELSE 2 END
+       ELSE CASE WHEN page = 0 THEN 0 ELSE 1 END END AS breaks,
+  landed IN ('whole', 'no offsets') OR (landed = 'second missing' AND page = 0) AS complete
+FROM summed, last""",
+    "publish_on_change": f"""
+WITH days AS (SELECT count(*) AS n FROM ({_timeline()})),
+turns AS (SELECT unnest([1, 2, 3])::INTEGER AS turn)
+SELECT turn, 'price_timeline' AS "table", turn = 1 AS published, n AS rows, NULL::DOUBLE AS total
+FROM turns, days
+UNION ALL
+SELECT turn, 'events', turn <> 2, (SELECT count(*) FROM events),
+  (SELECT round(sum(CASE WHEN event_id % 100 = 7 THEN value * 2 ELSE value END), 2) FROM events)
+FROM turns""",
+    "event_keys": f"""
+WITH moved AS (
+  SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE)
+    + to_months(CAST(12 * (9 + o_orderkey % 14) AS INTEGER)) AS DATE) AS date FROM orders),
+periods AS (SELECT * FROM (VALUES
+  (DATE '2005-01-01', DATE '2005-12-31', 'analogue_2005_katrina'),
+  (DATE '2008-01-01', DATE '2008-12-31', 'analogue_2008_crisis'),
+  (DATE '2009-01-01', DATE '2009-12-31', 'analogue_2009_recovery'),
+  (DATE '2014-01-01', DATE '2016-12-31', 'analogue_2014_oil_crash'),
+  (DATE '2020-01-01', DATE '2020-12-31', 'analogue_2020_covid'),
+  (DATE '2022-02-01', DATE '2022-07-31', 'analogue_2022_invasion')) p(a, b, key))
+SELECT o_orderkey, {_day('date')} AS date, coalesce(key, 'analogue_generic') AS narrative_key
+FROM moved LEFT JOIN periods ON date BETWEEN a AND b""",
+    "event_keys_given": f"""
+WITH days AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders),
+periods AS (
+  SELECT o_orderstatus AS key, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b
+  FROM orders WHERE o_totalprice > 400000 GROUP BY ALL)
+SELECT o_orderkey, {_day('date')} AS date, coalesce(key, 'none') AS narrative_key
+FROM days LEFT JOIN periods ON date BETWEEN a AND b
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY a, b, key) = 1""",
+    "catalog_tables": f"""
+WITH daily AS (SELECT CAST(l_shipdate AS DATE) AS day FROM lineitem),
+kept AS (
+  SELECT day FROM (
+    SELECT CAST(l_shipdate AS DATE) AS day,
+      min(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS price FROM lineitem GROUP BY ALL)
+  WHERE price > 0),
+weeks AS (
+  SELECT CAST(ts AS DATE) AS day FROM events
+  GROUP BY ALL HAVING min(value) > 0)
+SELECT 'daily_raw' AS "table", 2 * count(*) AS rows, {_day('min(day)')} AS min_date, {_day('max(day)')} AS max_date FROM daily
+UNION ALL SELECT 'weekly_raw', count(*), {_day('min(ts)')}, {_day('max(ts)')} FROM events
+UNION ALL SELECT 'daily_clean', count(*), {_day('min(day)')}, {_day('max(day)')} FROM kept
+UNION ALL SELECT 'weekly_clean', count(*), {_day('min(day)')}, {_day('max(day)')} FROM weeks
+UNION ALL SELECT 'timeline', count(*), {_day('min(day)')}, {_day('max(day)')} FROM kept""",
 }

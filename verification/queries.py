@@ -14,6 +14,7 @@ from seriesengine.functions.numeric import valid_price
 from seriesengine.operators import (
     cleanse,
     crosscorr,
+    events,
     quality,
     regime,
     shocks,
@@ -21,6 +22,7 @@ from seriesengine.operators import (
     timeline,
 )
 from seriesengine.operators.layout import Series, public
+from seriesengine.plans import medallion
 from seriesengine.params import LagRange, Layout, ShockRules
 from seriesengine.scratch import materialize, new_path
 from seriesengine.sinks import exports
@@ -160,8 +162,8 @@ def clean_daily(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(cleanse.clean_daily(_daily_raw(spark, folder)))
 
 
-def _event_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """All events as landed API pages of the usual size, one page per line."""
+def _land_pages(spark: SparkSession, folder: str, offsets: bool = True) -> DataFrame:
+    """All events as API pages of the usual size: ``page`` and its JSON ``value``."""
     events = table(spark, folder, "events")
     record = F.struct(
         F.date_format("ts", "yyyy-MM-dd").alias("period"),
@@ -176,12 +178,23 @@ def _event_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("extra"),
     )
     total = events.agg(F.count("*").cast("string").alias("total")).first()["total"]
-    pages = events.groupBy(F.floor(F.col("event_id") / API_PAGE_SIZE).alias("page")).agg(
-        F.struct(F.lit(total).alias("total"), F.collect_list(record).alias("data")).alias("response")
+    offset = (F.col("page") * API_PAGE_SIZE).cast("string")
+    request = F.struct(F.struct((offset if offsets else F.lit(None).cast("string")).alias("offset")).alias("params"))
+    return (
+        events.groupBy(F.floor(F.col("event_id") / API_PAGE_SIZE).alias("page"))
+        .agg(F.struct(F.lit(total).alias("total"), F.collect_list(record).alias("data")).alias("response"))
+        .select("page", F.to_json(F.struct(request.alias("request"), "response")).alias("value"))
     )
-    path = new_path(spark, "api-landing")
-    pages.select(F.to_json(F.struct("response")).alias("value")).write.text(path)
-    return landing.read_api_pages(spark, path, page_per_line=True)
+
+
+def _read_pages(landed: DataFrame) -> DataFrame:
+    path = new_path(landed.sparkSession, "api-landing")
+    landed.select("value").write.text(path)
+    return landing.read_api_pages(landed.sparkSession, path, page_per_line=True)
+
+
+def _event_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return _read_pages(_land_pages(spark, folder))
 
 
 def ingest_api_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,6 +217,34 @@ def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     return landing.page_completeness(_event_pages(spark, folder))
 
 
+def page_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """All events, landed in four ways that are not whole: the first page twice in place of
+    the second, the second page missing, the first twice beside all, and without offsets
+    the first twice in place of the second."""
+
+    def without_second(pages: DataFrame) -> DataFrame:
+        return pages.filter("page <> 1")
+
+    def first_twice(pages: DataFrame) -> DataFrame:
+        return pages.unionByName(pages.filter("page = 0"))
+
+    whole, _ = materialize(_land_pages(spark, folder), "pages")
+    plain, _ = materialize(_land_pages(spark, folder, offsets=False), "pages")
+    cases = {
+        "whole": whole,
+        "first for second": first_twice(without_second(whole)),
+        "second missing": without_second(whole),
+        "first twice": first_twice(whole),
+        "no offsets": plain,
+        "no offsets, first for second": first_twice(without_second(plain)),
+    }
+    rows = [
+        landing.page_completeness(_read_pages(pages)).withColumn("landed", F.lit(name))
+        for name, pages in cases.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def partition_replace(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of all events on two days, then the second day once more."""
     path = new_path(spark, "replaced")
@@ -234,30 +275,29 @@ def table_summary(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(reduce(DataFrame.unionByName, rows))
 
 
-def _gold(spark: SparkSession, folder: str) -> tuple[Series, DataFrame, DataFrame, DataFrame]:
-    s = series(spark, folder)
-    sweep, _ = materialize(crosscorr.lag_sweep(s), "sweep")
-    ranking, _ = materialize(shocks.shock_ranking(s), "ranking")
-    return s, timeline.timeline_table(s), sweep, ranking
+def _as_text(value: object) -> str:
+    return {"optimal_correlation": "{:.4f}", "top_event_pct_change": "{:.2f}"}.get(value[0], "{}").format(value[1])
 
 
 def export_stats(spark: SparkSession, folder: str) -> DataFrame:
-    s, gold, sweep, ranking = _gold(spark, folder)
-    correlation = F.format_string("%.4f", "optimal_correlation")
-    change = F.format_string("%.2f", "top_event_pct_change")
-    parts = [
-        exports.as_long(exports.timeline_stats(gold, "date"), "price_timeline"),
-        exports.as_long(
-            exports.lag_stats(sweep).withColumn("optimal_correlation", correlation),
-            "wti_diesel_lag",
-        ),
-        exports.as_long(
-            exports.shock_stats(ranking).withColumn("top_event_pct_change", change),
-            "fuel_shocks",
-        ),
-        exports.as_long(exports.status_stats(status.status_document(s)), "diesel_status"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Statistics that the exports of the gold tables observe, and the status's counts."""
+    s = series(spark, folder)
+    arrays = {
+        "price_timeline": (timeline.timeline_table(s), "date", exports.timeline_metrics("date")),
+        "wti_diesel_lag": (crosscorr.lag_sweep(s), "lag_days", exports.lag_metrics()),
+        "fuel_shocks": (shocks.shock_ranking(s), "rank", exports.shock_metrics()),
+    }
+    rows = []
+    for name, (df, order, metrics) in arrays.items():
+        done = exports.export_array(df, order, new_path(spark, "export"), **metrics)
+        rows += [(name, stat, _as_text((stat, v))) for stat, v in exports.statistics(done).items()]
+    exported = spark.createDataFrame(rows, "table string, stat string, value string")
+    counts = status.status_counts(s)
+    texts = counts.select([F.col(c).cast("string").alias(c) for c in counts.columns])
+    status_rows = texts.unpivot([], texts.columns, "stat", "value").select(
+        F.lit("diesel_status").alias("table"), "stat", "value"
+    )
+    return exported.unionByName(status_rows)
 
 
 def _roundtrip(df: DataFrame, *order: str, parts: bool = False) -> DataFrame:
@@ -303,13 +343,78 @@ def export_shocks_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest of the timeline, written with an instant that names no zone, read back."""
     gold = timeline.timeline_table(series(spark, folder))
-    stats = exports.timeline_stats(gold, "date").first()
+    stats = exports.export_array(gold, "date", new_path(spark, "export"), **exports.timeline_metrics("date"))
     tables = {"price_timeline": {"rows": stats["rows"], "min_date": stats["min_date"]}}
     path = exports.write_manifest(spark, tables, stats["max_date"], new_path(spark, "manifest"), BATCH)
     back = spark.read.json(path, multiLine=True)
     return back.select("generated_at", "data_through", "tables.price_timeline.*")
 
 
+def publish_on_change(spark: SparkSession, folder: str) -> DataFrame:
+    """The timeline and all events published three times: new, the same in another order of
+    rows, and with some events changed. What is left alone keeps its manifest entry."""
+    gold = timeline.timeline_table(series(spark, folder))
+    every = table(spark, folder, "events").select("event_id", "value")
+    path = new_path(spark, "published")
+    doubled = F.when(F.col("event_id") % 100 == 7, F.col("value") * 2).otherwise(F.col("value"))
+    turns = [(gold, every), (gold.repartition(3), every.repartition(5)), (gold, every.withColumn("value", doubled))]
+    rows = []
+    for turn, (days, values) in enumerate(turns, 1):
+        tables = {"price_timeline": (days, "date"), "events": (values, "event_id")}
+        done = exports.publish(spark, tables, path, "2024-06-30", BATCH, parts=True)
+        listed = exports.read_manifest(spark, path)["tables"]
+        rows += [(turn, name, done[name], listed[name]["rows"]) for name in tables]
+    found = spark.createDataFrame(rows, "turn int, table string, published boolean, rows long")
+    back = exports.read_array(spark, f"{path}/events.json", every.schema).drop("_corrupt_record")
+    total = back.agg(F.lit("events").alias("table"), F.round(F.sum("value"), 2).alias("total"))
+    return found.join(total, "table", "left")
+
+
+def event_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Named event of every order's date, moved by whole years into 2004 to 2023."""
+    years = 9 + F.pmod(F.col("o_orderkey"), F.lit(14))
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.add_months(F.to_date("o_orderdate"), (12 * years).cast("int")).alias("date")
+    )
+    return comparable(events.with_event_key(orders, "date"))
+
+
+def event_keys_given(spark: SparkSession, folder: str) -> DataFrame:
+    """The same dates against periods of the caller's, which overlap: for every status of
+    orders, from its first to its last order above 400,000."""
+    orders = table(spark, folder, "orders")
+    large = orders.filter("o_totalprice > 400000").groupBy(F.col("o_orderstatus").alias("key"))
+    periods = large.agg(
+        F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last")
+    )
+    days = orders.select("o_orderkey", F.to_date("o_orderdate").alias("date"))
+    return comparable(events.with_event_key(days, "date", periods, other="none"))
+
+
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages from landed batches to gold through one catalog: every table's rows and days.
+
+    All order lines land as the daily batch, on two days, and all events as API pages.
+    """
+    tables = catalog.Catalog(new_path(spark, "catalog"))
+    daily = _daily_raw(spark, folder)
+    for day in ("2024-06-29", "2024-06-30"):
+        batch = daily.withColumn("ingestion_date", F.lit(day).cast("date"))
+        catalog.replace_partition(batch, tables.daily_raw, fmt=tables.fmt)
+    weekly = landing.weekly_batch(_event_pages(spark, folder), BATCH, product=None, area=None)
+    catalog.replace_partition(weekly, tables.weekly_raw, fmt=tables.fmt)
+    medallion.build_silver(spark, tables)
+    medallion.build_gold(spark, tables)
+    days = {"daily_raw": "date", "weekly_raw": "period", "daily_clean": "date", "weekly_clean": "week_ending", "timeline": "date"}
+    rows = [
+        catalog.table_summary(
+            catalog.read_table(spark, getattr(tables, name), tables.fmt).select(F.to_date(day).alias("d")), "d"
+        ).withColumn("table", F.lit(name))
+        for name, day in days.items()
+    ]
+    return comparable(reduce(DataFrame.unionByName, rows))
+
+
 def changed_null_move(spark: SparkSession, folder: str) -> DataFrame:
     """A value that moves from one column to an empty one is a change."""
     gold, _ = materialize(timeline.timeline_table(series(spark, folder)), "gold")
@@ -427,4 +532,9 @@ QUERIES: dict[str, Query] = {
     "export_order": export_order,
     "manifest": manifest,
     "changed_null_move": changed_null_move,
+    "page_gaps": page_gaps,
+    "publish_on_change": publish_on_change,
+    "event_keys": event_keys,
+    "event_keys_given": event_keys_given,
+    "catalog_tables": catalog_tables,
 }
