@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
+import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from seriesengine.llm import fingerprints, simhash
 from seriesengine.llm.components import components
@@ -93,25 +96,61 @@ def test_components_of_a_long_chain(spark):
     assert found == {**dict.fromkeys(range(201), 0), 300: 300, 301: 300}
 
 
+def plain_samples(text):
+    """Bin and winner of each bin, word by word and copy by copy."""
+
+    def hashed(*parts):
+        seed = 42
+        for part in parts:
+            seed = xxhash.xxh64_intdigest(part, seed)
+        return seed
+
+    def digits(bits, part):
+        return (bits >> 21 * part & (1 << 21) - 1) + 0.5
+
+    def gamma(bits):
+        return 42 * math.log(2) - math.log(digits(bits, 0) * digits(bits, 1))
+
+    best = {}
+    for word, n in collections.Counter(re.findall(r"[^\x20\x09-\x0D]+", text.lower())).items():
+        h = hashed(word.encode()).to_bytes(8, "little")
+        for k in range(1, n + 1):
+            copy = k.to_bytes(8, "little")
+            a, b = hashed(h, copy), hashed(copy, h)
+            rank = math.log(gamma(b)) - gamma(a) * (1 - digits(a, 2) / (1 << 21))
+            draw = int((rank + 50) * (1 << 26)) << 24 | a >> 40
+            at = b >> 42 & 63
+            best[at] = min(best.get(at, draw), draw)
+    return {(at, draw & (1 << 24) - 1) for at, draw in best.items()}
+
+
+def plain_likeness(a, b):
+    filled = {at for at, _ in a | b}
+    return len(a & b) / len(filled) if filled else 1.0
+
+
+def as_text(samples):
+    return "".join(f"{at << 24 | own:08x}" for at, own in sorted(samples))
+
+
 @pytest.mark.parametrize("rows_per_bucket", [1, 7, 2048])
 def test_edited_texts(spark, odd_docs, monkeypatch, rows_per_bucket):
+    """Null and repeated ids take part: rows are in falling order of id, nulls last, then of text."""
     monkeypatch.setattr(fingerprints, "BUCKET_ROWS", rows_per_bucket)
-    docs = odd_docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: -r.doc_id)
-    texts = [r.text or "" for r in rows]
-    found = {r.doc_id: r for r in fingerprints.with_edited(docs).collect()}
-    assert len(found) == len(rows)
-    by_text = collections.defaultdict(set)
-    for k, row in enumerate(rows):
-        text, following = texts[k], texts[(k + 1) % len(texts)]
+    rows = [(r.doc_id, r.text or "") for r in odd_docs.select("doc_id", "text").collect()]
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
+    expected = collections.Counter()
+    signed = {text: plain_samples(text) for _, text in rows}
+    for k, (doc_id, text) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
         third = len(text) // 3
         edited = text[: len(text) - third] + following[:third]
-        own = found[row.doc_id]
-        assert own.n_chars == len(text)
-        assert own.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert 0 <= own.near_edited <= 1 and 0 <= own.near_next <= 1
-        by_text[text].add(own.fingerprint)
-    assert all(len(prints) == 1 for prints in by_text.values())
+        own, other, after = signed[text], plain_samples(edited), signed[following]
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        near = plain_likeness(own, other), plain_likeness(own, after)
+        expected[doc_id, len(text), digest, as_text(own), as_text(other), *near] += 1
+    found = fingerprints.with_edited(odd_docs)
+    assert collections.Counter(map(tuple, found.collect())) == expected
 
 
 def test_one_document_follows_itself(spark):
@@ -121,9 +160,7 @@ def test_one_document_follows_itself(spark):
     assert row.near_next == 1
 
 
-@pytest.mark.parametrize(("portion", "most"), [(1, 0.02), (2, 0.06)])
-def test_likeness_estimates_generalised_jaccard(spark, monkeypatch, portion, most):
-    monkeypatch.setattr(fingerprints, "PORTION", portion)
+def test_likeness_estimates_generalised_jaccard(spark):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
     rows, truth = [], []
@@ -132,10 +169,30 @@ def test_likeness_estimates_generalised_jaccard(spark, monkeypatch, portion, mos
         b = a[: 2 * i] + rng.choices(vocabulary, k=150 - 2 * i)
         x, y = collections.Counter(a), collections.Counter(b)
         truth.append(sum((x & y).values()) / sum((x | y).values()))
-        rows.append((i, " ".join(a), " ".join(b)))
-    frame = spark.createDataFrame(rows, "id long, a string, b string")
-    near = fingerprints.likeness(fingerprints.signature(frame.a), fingerprints.signature(frame.b))
-    found = [r.near for r in frame.select("id", near.alias("near")).orderBy("id").collect()]
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = fingerprints.fingerprints(docs).select("doc_id", "signature")
+    left = signed.filter("doc_id % 2 = 0").selectExpr("doc_id", "signature AS a")
+    right = signed.filter("doc_id % 2 = 1").selectExpr("doc_id - 1 AS doc_id", "signature AS b")
+    near = fingerprints.likeness(F.col("a"), F.col("b"))
+    found = [r.near for r in left.join(right, "doc_id").select("doc_id", near.alias("near")).orderBy("doc_id").collect()]
     errors = [f - t for f, t in zip(found, truth, strict=True)]
-    assert abs(sum(errors) / len(errors)) < most
+    assert abs(sum(errors) / len(errors)) < 0.02
     assert max(map(abs, errors)) < 0.25
+
+
+def test_fingerprints_equal_the_plain_version(spark, odd_docs, no_docs):
+    rows = fingerprints.fingerprints(odd_docs).collect()
+    given = collections.Counter((r.doc_id, r.text or "") for r in odd_docs.collect())
+    assert collections.Counter((r.doc_id, r.text) for r in rows) == given
+    for r in rows:
+        assert r.fingerprint == as_text(plain_samples(r.text))
+    assert fingerprints.fingerprints(no_docs).collect() == []
+
+
+def test_words_are_never_shuffled(spark, odd_docs):
+    """The texts are dealt by bucket; what words become is only dealt as whole signatures."""
+    plan = fingerprints.with_edited(odd_docs)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert len(dealt) >= 2
+    assert all("#" in keys and "side" not in keys and not re.search(r"\bh#", keys) for keys in dealt)
