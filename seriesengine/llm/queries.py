@@ -76,7 +76,7 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     versions = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
     ledger = new_path(spark, "secret-ledger")
     secrets.scan(versions, ledger)
-    found = F.coalesce("findings", F.array().cast(spans.FOUND))
+    found = F.coalesce("findings", F.array().cast(secrets.KEPT))
     return secrets.findings(versions, ledger).select("doc_id", *_digest(found, secrets.BASE))
 
 

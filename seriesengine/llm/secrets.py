@@ -32,7 +32,9 @@ TOKEN = r"(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{20,}+|sk_live_[
 # Names this set of rules; a changed set needs another name to be scanned for.
 RULES = "rules-1"
 
-LEDGER = "rule_version string, blob string, findings " + spans.FOUND
+# What the ledger keeps of a secret: never its text or what stands before it.
+KEPT = "array<struct<kind:string,start:bigint,end:bigint,digest:string>>"
+LEDGER = "rule_version string, blob string, findings " + KEPT
 
 
 def _schema() -> T.StructType:
@@ -71,9 +73,27 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path).dropDuplicates(["rule_version", "blob"])
 
 
-def scan(versions: DataFrame, ledger: str, rule_version: str = RULES) -> int:
+def kept(found: Column, key: str | None) -> Column:
+    """Findings as the ledger keeps them. With a ``key`` a digest of key and secret tells
+    whether two places hold the same one; without a key there is none."""
+
+    def one(secret: Column) -> Column:
+        digest = F.sha2(F.concat(F.lit(key), secret["match"]).cast("binary"), 256) if key else F.lit(None)
+        return F.struct(
+            secret["kind"].alias("kind"),
+            secret["start"].alias("start"),
+            secret["end"].alias("end"),
+            digest.cast("string").alias("digest"),
+        )
+
+    return F.transform(found, one)
+
+
+def scan(versions: DataFrame, ledger: str, rule_version: str = RULES, key: str | None = None) -> int:
     """Scan what the ledger lacks; returns the number of blobs scanned.
 
+    The ledger keeps where secrets are, not what they are; ``key`` adds keyed digests.
+
     ``versions`` has ``content``, one row per version of a path; other columns are
     ignored. A null content is the empty blob. Contents that repeat are scanned once;
     with an empty table, or if all is known, nothing is appended.
@@ -85,7 +105,7 @@ def scan(versions: DataFrame, ledger: str, rule_version: str = RULES) -> int:
     unseen = blobs.join(known.select("blob"), "blob", "left_anti").dropDuplicates(["blob"])
     found, seen = materialize(
         unseen.select(
-            F.lit(rule_version).alias("rule_version"), "blob", secrets(F.col("content")).alias("findings")
+            F.lit(rule_version).alias("rule_version"), "blob", kept(secrets(F.col("content")), key).alias("findings")
         ),
         "secrets",
         blobs=F.count("*"),
