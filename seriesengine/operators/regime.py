@@ -85,12 +85,13 @@ def rolling_volatility(series: Series, rules: StatusRules | None = None) -> Data
     )
 
 
-def _ranked(series: Series, rules: StatusRules) -> DataFrame:
-    """Price and volatility percent ranks and the regime they give, per date."""
+def _ranked(series: Series, rules: StatusRules, carried: Sequence[str] = ()) -> DataFrame:
+    """Price and volatility percent ranks and the regime they give, per date, beside
+    ``carried`` features."""
     keys = series.keys
     reach = max(rules.rolling_rows - 1, _feature_reach(rules))
     halo = _with_features(with_halo(series, before=reach), keys, rules).select(
-        *keys, CHUNK, OWNED, DATE, POS, ROWS, SLOW, VOLATILITY, VOLATILITY_UNITS
+        *keys, CHUNK, OWNED, DATE, POS, ROWS, SLOW, VOLATILITY, VOLATILITY_UNITS, *carried
     )
     ranked = rank_in_chunks(halo, keys, SLOW, VOLATILITY_UNITS, rules.rolling_rows)
     if not series.one_chunk:
@@ -156,16 +157,26 @@ def segment_runs(
     )
 
 
+def stored_states(series: Series, rules: StatusRules) -> DataFrame:
+    """Features and regime of every row of the series that are long enough, stored: what a
+    status with its history is made of."""
+    rows = _ranked(series, rules, (MOMENTUM,)).filter(F.col(ROWS) >= rules.min_rows)
+    columns = (CHUNK, POS, ROWS, DATE, SLOW, MOMENTUM, VOLATILITY, VOLATILITY_UNITS, "regime")
+    return materialize(rows.select(*series.keys, *columns), "states")[0]
+
+
+def segments_of(states: DataFrame, series: Series) -> DataFrame:
+    """Segments of rows that have a regime."""
+    rows = states.select(*series.keys, CHUNK, POS, DATE, "regime")
+    return segment_runs(rows, series.keys, "regime", series.one_chunk)
+
+
 def regime_segments(series: Series, rules: StatusRules) -> DataFrame:
     """``regime_history`` with the physical key."""
-    rows = (
-        _ranked(series, rules)
-        .filter(F.col(ROWS) >= rules.min_rows)
-        .select(*series.keys, CHUNK, POS, DATE, "regime")
-    )
+    rows = _ranked(series, rules).filter(F.col(ROWS) >= rules.min_rows)
     if not series.one_chunk:
-        rows, _ = materialize(rows, "regimes")
-    return segment_runs(rows, series.keys, "regime", series.one_chunk)
+        rows, _ = materialize(rows.select(*series.keys, CHUNK, POS, DATE, "regime"), "regimes")
+    return segments_of(rows, series)
 
 
 def regime_history(series: Series, rules: StatusRules | None = None) -> DataFrame:

@@ -31,7 +31,8 @@ from seriesengine.operators.regime import (
     VOLATILITY,
     VOLATILITY_UNITS,
     features,
-    regime_segments,
+    segments_of,
+    stored_states,
 )
 from seriesengine.params import DATE, SLOW, StatusRules
 from seriesengine.scratch import materialize
@@ -167,18 +168,17 @@ def status_kpis(series: Series, rules: StatusRules | None = None) -> DataFrame:
     return public(state.select(*series.keys, *_kpi_columns()), series.keys)
 
 
-def _sparkline(series: Series, rules: StatusRules) -> DataFrame:
-    check_status_input(series, rules)
+def _sparkline(rows: DataFrame, keys: tuple[str, ...], rules: StatusRules) -> DataFrame:
     step = rules.sparkline_step
     back = F.col(ROWS) - 1 - F.col(POS)
     points = F.least(F.lit(rules.sparkline_points), F.floor((F.col(ROWS) - 1) / step) + 1)
-    sampled = series.frame.filter(
+    sampled = rows.filter(
         (F.col(ROWS) >= rules.min_rows)
         & (back % step == 0)
         & (back < rules.sparkline_points * step)
     )
     return sampled.select(
-        *series.keys,
+        *keys,
         (points - 1 - F.floor(back / step)).cast("int").alias("point"),
         round_even(F.col(SLOW), 3).alias("price"),
     )
@@ -187,7 +187,9 @@ def _sparkline(series: Series, rules: StatusRules) -> DataFrame:
 def sparkline(series: Series, rules: StatusRules | None = None) -> DataFrame:
     """Up to ``sparkline_points`` prices, every ``sparkline_step`` rows back from
     the last; ``point`` counts up to the latest."""
-    return public(_sparkline(series, rules or StatusRules()), series.keys)
+    rules = rules or StatusRules()
+    check_status_input(series, rules)
+    return public(_sparkline(series.frame, series.keys, rules), series.keys)
 
 
 def _analogue(
@@ -252,9 +254,10 @@ def status_counts(series: Series, rules: StatusRules | None = None) -> DataFrame
     """``as_of_date, regime, regime_segments`` of each series. Segments are counted as
     rows; nothing of a series is collected."""
     rules = rules or StatusRules()
-    rows = _stored_features(series, rules)
-    state = _state(rows, series.keys, series.layout, rules)
-    segments = regime_segments(series, rules).groupBy(*series.keys).agg(F.count("*").alias("regime_segments"))
+    check_status_input(series, rules)
+    rows = stored_states(series, rules)
+    state = _state(rows.drop("regime"), series.keys, series.layout, rules)
+    segments = segments_of(rows, series).groupBy(*series.keys).agg(F.count("*").alias("regime_segments"))
     counted = state.join(segments, list(series.keys), "left").select(
         *series.keys,
         F.col("as_of").cast("string").alias("as_of_date"),
@@ -264,8 +267,7 @@ def status_counts(series: Series, rules: StatusRules | None = None) -> DataFrame
     return public(counted, series.keys)
 
 
-def _snapshot(series: Series, rules: StatusRules) -> DataFrame:
-    rows = _stored_features(series, rules)
+def _snapshot(rows: DataFrame, series: Series, rules: StatusRules) -> DataFrame:
     # Read twice below; one row per series.
     state, _ = materialize(_state(rows, series.keys, series.layout, rules), "state")
     analogue = _analogue(rows, state, series.keys, series.layout, rules)
@@ -285,24 +287,28 @@ def _snapshot(series: Series, rules: StatusRules) -> DataFrame:
 
 def status_snapshot(series: Series, rules: StatusRules | None = None) -> DataFrame:
     """Flat status, one row per series: indicators, headline texts, analogue."""
-    return public(_snapshot(series, rules or StatusRules()), series.keys)
+    rules = rules or StatusRules()
+    return public(_snapshot(_stored_features(series, rules), series, rules), series.keys)
 
 
 def status_document(series: Series, rules: StatusRules | None = None) -> DataFrame:
     """Nested status, one row per series, with sparkline and regime history.
 
     The lists belong to one series; the longest, the history, has at most one
-    element per date of the calendar. ``regime_history`` gives it as a table.
+    element per date of the calendar. ``regime_history`` gives it as a table. All parts
+    read one stored table of features and regimes.
     """
     rules = rules or StatusRules()
     keys = list(series.keys)
+    check_status_input(series, rules)
+    rows = stored_states(series, rules)
     points = (
-        _sparkline(series, rules)
+        _sparkline(rows, series.keys, rules)
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("point", "price"))).alias("_points"))
     )
     segments = (
-        regime_segments(series, rules)
+        segments_of(rows, series)
         .select(
             *keys,
             F.struct(
@@ -315,7 +321,9 @@ def status_document(series: Series, rules: StatusRules | None = None) -> DataFra
         .agg(F.array_sort(F.collect_list("_segment")).alias("regime_history"))
     )
     document = (
-        _snapshot(series, rules).join(points, keys, "left").join(segments, keys, "left")
+        _snapshot(rows.drop("regime"), series, rules)
+        .join(points, keys, "left")
+        .join(segments, keys, "left")
     )
     kpis = F.struct(
         "current_price_usd_gal", "delta_1w_pct", "delta_yoy_pct", "percentile_25y", "percentile_5y"
