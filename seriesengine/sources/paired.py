@@ -97,13 +97,12 @@ def by_priority(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def by_supplier(spark: SparkSession, folder: str) -> DataFrame:
-    """Both sides in one frame, per supplier: mean line price per ship day, and unit price
-    per ship week. The lines are read and shuffled once, for both groupings. The number
-    of series grows with the data."""
+def _by_line_key(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    """Both sides in one frame, per key of the lines: mean line price per ship day, and unit
+    price per ship week. The lines are read and shuffled once, for both groupings."""
     price = F.col("l_extendedprice")
     lines = table(spark, folder, "lineitem").select(
-        "l_suppkey",
+        key,
         F.to_date("l_shipdate").alias("_day"),
         _week(F.col("l_shipdate")).alias("_of_week"),
         cents(price).alias("_cents"),
@@ -111,7 +110,7 @@ def by_supplier(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("_units"),
     )
     sums = lines.groupingSets(
-        [["l_suppkey", "_day"], ["l_suppkey", "_of_week"]], "l_suppkey", "_day", "_of_week"
+        [[key, "_day"], [key, "_of_week"]], key, "_day", "_of_week"
     ).agg(
         F.grouping("_day").alias("_weekly"),
         F.sum("_cents").alias("_cents"),
@@ -120,8 +119,18 @@ def by_supplier(spark: SparkSession, folder: str) -> DataFrame:
     )
     weekly = F.col("_weekly") == 1
     return sums.select(
-        "l_suppkey",
+        key,
         F.when(weekly, F.col("_of_week")).otherwise(F.col("_day")).alias(DATE),
         F.when(weekly, F.lit(SLOW_SIDE)).otherwise(F.lit(FAST_SIDE)).alias(SIDE),
         (F.col("_cents") / F.when(weekly, F.col("_units")).otherwise(F.col("_prices")) / 100).alias(PRICE),
     )
+
+
+def by_supplier(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides per supplier. The number of series grows with the data."""
+    return _by_line_key(spark, folder, "l_suppkey")
+
+
+def by_part(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides per part: very many short series."""
+    return _by_line_key(spark, folder, "l_partkey")

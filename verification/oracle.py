@@ -6,7 +6,7 @@ numbers, as-of joins. ``printf`` rounds the exact binary value half to even.
 
 from __future__ import annotations
 
-from verification.queries import PRIORITY, SUPPLIER
+from verification.queries import PART, PRIORITY, SUPPLIER
 
 
 def _cents(column: str) -> str:
@@ -34,15 +34,15 @@ slow AS (
   SELECT o_orderpriority AS k, {_WEEK} AS week,
          sum({_cents('l_extendedprice')}) / count(l_extendedprice) / 100 AS price
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)""",
-    SUPPLIER: f"""
+    **{key: f"""
 fast AS (
-  SELECT l_suppkey AS k, CAST(l_shipdate AS DATE) AS date,
+  SELECT {key[0]} AS k, CAST(l_shipdate AS DATE) AS date,
          sum({_cents('l_extendedprice')}) / count(l_extendedprice) / 100 AS price
   FROM lineitem GROUP BY ALL),
 slow AS (
-  SELECT l_suppkey AS k, {_WEEK} AS week,
+  SELECT {key[0]} AS k, {_WEEK} AS week,
          sum({_cents('l_extendedprice')}) / sum(CAST(l_quantity AS BIGINT)) / 100 AS price
-  FROM lineitem GROUP BY ALL)""",
+  FROM lineitem GROUP BY ALL)""" for key in (SUPPLIER, PART)},
 }
 
 _TIMELINE = """,
@@ -97,15 +97,18 @@ feat AS (
   SELECT *, round(vol * 1048577.0 - (vol * 1048577.0 - vol), 9) AS volkey FROM vols)"""
 
 _REGIMES = _FEATURES + """,
+lists AS (
+  SELECT k, list(slow ORDER BY pos) AS slows, list(volkey ORDER BY pos) AS vols FROM feat GROUP BY k),
 rolled AS (
-  SELECT a.k, a.pos, count(*) FILTER (WHERE b.slow < a.slow) / count(*) * 100 AS price_pct
-  FROM feat a JOIN feat b ON b.k = a.k AND b.pos BETWEEN a.pos - 1259 AND a.pos
-  GROUP BY a.k, a.pos),
+  SELECT k, pos,
+    len(list_filter(slows[greatest(1, pos - 1258):pos + 1], lambda x: x < slow))
+      / least(pos + 1, 1260) * 100 AS price_pct
+  FROM feat JOIN lists USING (k)),
 expanded AS (
-  SELECT a.k, a.pos, count(*) FILTER (WHERE b.volkey < a.volkey) / count(*) * 100 AS vol_rank
-  FROM feat a JOIN feat b ON b.k = a.k AND b.pos <= a.pos
-  WHERE a.volkey IS NOT NULL AND b.volkey IS NOT NULL
-  GROUP BY a.k, a.pos),
+  SELECT k, pos,
+    len(list_filter(vols[1:pos + 1], lambda x: x < volkey))
+      / len(list_filter(vols[1:pos + 1], lambda x: x IS NOT NULL)) * 100 AS vol_rank
+  FROM feat JOIN lists USING (k) WHERE volkey IS NOT NULL),
 daily AS (
   SELECT f.*, r.price_pct, coalesce(e.vol_rank, 50.0) AS vol_rank,
     CASE WHEN r.price_pct > 80 OR coalesce(e.vol_rank, 50.0) > 75 THEN 'extreme'
@@ -192,6 +195,12 @@ analogue AS (
   FROM nearest)"""
 
 
+def _differs(left: str, right: str) -> str:
+    """Whether two sets of rows differ, repeats counted."""
+    sides = [(left, right), (right, left)]
+    return " OR ".join(f"EXISTS (({a}) EXCEPT ALL ({b}))" for a, b in sides)
+
+
 def _day(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d')"
 
@@ -414,6 +423,10 @@ SELECT 'events', count(*), {_day('min(ts)')}, {_day('max(ts)')} FROM events""",
     "rejected_series_by_supplier": _over(
         SUPPLIER, _TIMELINE, "n AS n_rows", "num WHERE pos = 0 AND n < 60"
     ),
+    "rejected_series_by_part": _over(
+        PART, _TIMELINE, "n AS n_rows", "num WHERE pos = 0 AND n < 30"
+    ),
+    "historical_analogue_by_supplier": _analogue(SUPPLIER).replace("730", "100"),
     "export_stats": f"""
 WITH {_SINGLE}{_REGIMES}{_STATUS}{_SWEEP.removeprefix(_TIMELINE)}{_SHOCKS.removeprefix(_TIMELINE)},
 best AS (SELECT * FROM flagged WHERE is_optimal ORDER BY lag_days LIMIT 1)
@@ -451,8 +464,15 @@ SELECT 'fresh' AS "check", date_diff('day', max(date), DATE '2001-08-08') <= 7 A
 FROM timeline
 UNION ALL SELECT 'fresh_in_2002', date_diff('day', max(date), DATE '2002-01-01') <= 7 FROM timeline
 UNION ALL SELECT 'output', count(*) > 0 FROM timeline
-UNION ALL SELECT 'changed_by_export', count(*) <> count(*) FROM timeline
-UNION ALL SELECT 'changed_by_move', count(slow) > 0 FROM timeline""",
+UNION ALL SELECT 'changed_by_export', {_differs("SELECT * FROM timeline", "SELECT * FROM timeline")}
+UNION ALL SELECT 'changed_by_move', {_differs(
+    "SELECT * FROM timeline", "SELECT * REPLACE (slow + 1 AS slow) FROM timeline"
+)}
+UNION ALL SELECT 'changed_by_two_days', {_differs(
+    "SELECT * FROM num",
+    "SELECT * REPLACE (CASE pos WHEN 0 THEN lead(fast) OVER (ORDER BY date) "
+    "WHEN 1 THEN lag(fast) OVER (ORDER BY date) ELSE fast END AS fast) FROM num",
+)}""",
 }
 
 ORACLE |= {
@@ -472,9 +492,16 @@ FROM ({_timeline()})""",
 SELECT '2024-06-30T12:00:00Z' AS generated_at, max(date) AS data_through,
   count(*) AS rows, min(date) AS min_date FROM ({_timeline()})""",
     "changed_null_move": f"""
-SELECT 'changed' AS "check",
-  count(*) FILTER (WHERE diesel_usd_gal IS NULL OR date = '1996-01-01') > 0 AS passed
-FROM ({_timeline()})""",
+WITH gold AS ({_timeline()}),
+old AS (
+  SELECT * REPLACE (CASE WHEN date = '1996-01-01' THEN NULL ELSE diesel_usd_gal END AS diesel_usd_gal)
+  FROM gold),
+moved AS (
+  SELECT * REPLACE (
+    CASE WHEN diesel_usd_gal IS NULL THEN NULL ELSE wti_usd_bbl END AS wti_usd_bbl,
+    CASE WHEN diesel_usd_gal IS NULL THEN wti_usd_bbl ELSE diesel_usd_gal END AS diesel_usd_gal)
+  FROM old)
+SELECT 'changed' AS "check", {_differs("SELECT * FROM old", "SELECT * FROM moved")} AS passed""",
     "page_gaps": """
 WITH sizes AS (SELECT event_id // 5000 AS page, count(*) AS n FROM events GROUP BY ALL),
 cases AS (

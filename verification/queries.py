@@ -23,7 +23,7 @@ from seriesengine.operators import (
 )
 from seriesengine.operators.layout import Series, public
 from seriesengine.plans import medallion
-from seriesengine.params import LagRange, Layout, ShockRules
+from seriesengine.params import LagRange, Layout, ShockRules, StatusRules
 from seriesengine.scratch import materialize, new_path
 from seriesengine.sinks import exports
 from seriesengine.sources import catalog, landing, paired
@@ -40,11 +40,13 @@ BATCH = datetime(2024, 6, 30, 12, 0, 0)
 
 PRIORITY = ("o_orderpriority",)
 SUPPLIER = ("l_suppkey",)
+PART = ("l_partkey",)
 
 _SIDES = {
     (): lambda spark, folder: timeline.sides(*paired.whole(spark, folder)),
     PRIORITY: paired.by_priority,
     SUPPLIER: paired.by_supplier,
+    PART: paired.by_part,
 }
 
 
@@ -454,6 +456,18 @@ def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
     exports.export_array(gold, "date", path)
     back = exports.read_array(spark, path, gold.schema).drop("_corrupt_record")
     moved = gold.withColumn("diesel_usd_gal", F.col("diesel_usd_gal") + 1)
+    # The first two days trade their prices: every column keeps its set of values.
+    days = [r["date"] for r in gold.orderBy("date").limit(2).collect()]
+    first = F.col("date") == F.lit(days[0])
+    other = gold.filter(F.col("date").isin(days)).select(
+        F.when(first, F.lit(days[-1])).otherwise(F.lit(days[0])).alias("date"),
+        F.col("wti_usd_bbl").alias("_other"),
+    )
+    swapped = (
+        gold.join(other, "date", "left")
+        .withColumn("wti_usd_bbl", F.coalesce("_other", "wti_usd_bbl"))
+        .select(gold.columns)
+    )
 
     def named(check: DataFrame, name: str) -> DataFrame:
         return check.withColumn("check", F.lit(name))
@@ -464,6 +478,7 @@ def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
         named(quality.readable(spark, path, gold.schema), "output"),
         named(quality.changed(back, gold), "changed_by_export"),
         named(quality.changed(moved, gold), "changed_by_move"),
+        named(quality.changed(swapped, gold), "changed_by_two_days"),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -514,6 +529,12 @@ QUERIES: dict[str, Query] = {
     "status_snapshot_by_priority": on_series(status.status_snapshot, PRIORITY),
     "status_snapshot_by_supplier": on_series(status.status_snapshot, SUPPLIER),
     "rejected_series_by_supplier": on_series(status.rejected_series, SUPPLIER),
+    "rejected_series_by_part": on_series(
+        lambda s: status.rejected_series(s, StatusRules(min_rows=30)), PART
+    ),
+    "historical_analogue_by_supplier": on_series(
+        lambda s: status.historical_analogue(s, StatusRules(analogue_exclusion=100)), SUPPLIER
+    ),
     "export_stats": export_stats,
     "export_roundtrip": export_roundtrip,
     "export_lag_roundtrip": export_lag_roundtrip,
