@@ -89,30 +89,25 @@ def export_all(
     params: Params = DEFAULTS,
     moment: datetime | None = None,
 ) -> dict[str, dict[str, object]]:
-    """Write the four JSON exports and the manifest; returns the statistics."""
+    """Publish the four JSON exports and the manifest; returns the manifest's tables.
+
+    What has not changed since the last export is neither written nor read again.
+    """
     gold = read_table(spark, catalog.timeline, catalog.fmt)
     sweep = read_table(spark, catalog.lag, catalog.fmt)
     ranking = read_table(spark, catalog.shocks, catalog.fmt)
     series = index_series(gold, layout=params.layout)
     document = status.status_document(series, params.status)
-
-    folder = catalog.exports
-    arrays = {
-        "price_timeline": (gold, DATE, exports.timeline_metrics(DATE)),
-        "wti_diesel_lag": (sweep, "lag_days", exports.lag_metrics()),
-        "fuel_shocks": (ranking, "rank", exports.shock_metrics()),
-    }
-    tables = {
-        name: exports.statistics(exports.export_array(df, order, f"{folder}/{name}.json", **metrics))
-        for name, (df, order, metrics) in arrays.items()
+    outputs = {
+        "price_timeline": exports.Output(gold, [DATE], exports.timeline_metrics(DATE)),
+        "wti_diesel_lag": exports.Output(sweep, ["lag_days"], exports.lag_metrics()),
+        "fuel_shocks": exports.Output(ranking, ["rank"], exports.shock_metrics()),
+        "diesel_status": exports.Output(document, None, exports.document_metrics()),
     }
-    tables["diesel_status"] = exports.export_document(
-        document, f"{folder}/diesel_status.json", **exports.document_metrics()
-    )
-    exports.write_manifest(
-        spark, tables, str(tables["price_timeline"]["max_date"]), folder, moment
-    )
-    return tables
+    through = lambda tables: str(tables["price_timeline"]["max_date"])
+    done = exports.publish(spark, outputs, catalog.exports, through, moment)
+    print("exported:", ", ".join(name for name, written in done.items() if written) or "nothing new")
+    return exports.read_manifest(spark, catalog.exports)["tables"]
 
 
 def main() -> None:

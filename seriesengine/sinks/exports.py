@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -83,8 +84,8 @@ class Staged:
     """
 
     def __init__(self, df: DataFrame, order: Sequence[str], metrics: dict[str, Column]) -> None:
-        place = F.struct(*order)
-        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in order])
+        place = F.struct(*order) if order else F.lit(None)
+        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in order], F.lit(True))
         self.order = list(order)
         self.rows, seen = materialize(
             df,
@@ -119,6 +120,13 @@ class Staged:
         first, last = (tuple(e) if len(self.order) > 1 else e[0] for e in (self.first, self.last))
         return {"rows": self.count, "first": first, "last": last, **self.metrics}
 
+    def write_document(self, path: str) -> dict[str, object]:
+        """Write the one row as a JSON document; refuses any other number of rows."""
+        if self.count != 1:
+            raise ValueError(f"a document is one row, found {self.count}")
+        publish_text(self.rows.select(json_text(self.rows).alias("value")), path)
+        return self.metrics
+
 
 def export_array(
     df: DataFrame,
@@ -170,11 +178,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 def export_document(df: DataFrame, path: str, **metrics: Column) -> dict[str, object]:
     """Export a one-row frame as a single JSON document; others are refused. Returns
     ``metrics``, aggregates of the frame, which runs once."""
-    staged, seen = materialize(df, "document-row", **metrics, _rows=F.count("*"))
-    if seen.get("_rows") != 1:
-        raise ValueError(f"a document is one row, found {seen.get('_rows') or 0}")
-    publish_text(staged.select(json_text(staged).alias("value")), path)
-    return {name: seen.get(name) for name in metrics}
+    return Staged(df, (), metrics).write_document(path)
 
 
 def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -270,33 +274,47 @@ def read_manifest(spark: SparkSession, folder: str) -> dict[str, object]:
     return json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
 
 
+@dataclass(frozen=True)
+class Output:
+    """A frame to publish: an array in the order of columns that are unique together, or
+    without an order a document, one row; and aggregates that its manifest entry states."""
+
+    df: DataFrame
+    order: Sequence[str] | None = None
+    metrics: Mapping[str, Column] = field(default_factory=dict)
+
+
 def publish(
     spark: SparkSession,
-    tables: dict[str, tuple[DataFrame, str | Sequence[str]]],
+    outputs: Mapping[str, Output],
     folder: str,
-    data_through: str,
+    data_through: Callable[[dict[str, dict[str, object]]], str],
     moment: datetime | None = None,
     parts: bool = False,
 ) -> dict[str, bool]:
-    """Export the tables whose content is not the published one; which were exported.
+    """Export the outputs whose content is not the published one; which were exported.
 
-    A table is a frame and its order, and goes to ``<name>.json``. The manifest keeps
-    each table's row count and content hash, so what was published is not read again: a
-    table runs once, its hash comes from that run, and an equal one that is still there is
-    left alone. The manifest is written last, and only if something was exported: a run
-    that breaks off exports again. Tables that it no longer lists leave the manifest.
+    An output goes to ``<name>.json``. The manifest keeps each output's content hash beside
+    its row count and metrics, so what was published is not read again: an output runs
+    once, its hash comes from that run, and an equal one that is still there is left
+    alone. The manifest is written last, and only if something was exported or left the
+    list: a run that breaks off exports again. ``data_through`` is told the entries.
     """
     before = read_manifest(spark, folder).get("tables", {})
     done, entries = {}, {}
-    for name, (df, order) in tables.items():
+    for name, output in outputs.items():
         path = f"{folder}/{name}.json"
-        staged = Staged(df, [order] if isinstance(order, str) else order, {})
-        entries[name] = {"rows": staged.count, "content": staged.content}
-        done[name] = before.get(name) != entries[name] or not path_exists(spark, path)
-        if done[name]:
+        staged = Staged(output.df, output.order or (), dict(output.metrics))
+        rows = {"rows": staged.count} if output.order else {}
+        entries[name] = {**rows, **staged.metrics, "content": staged.content}
+        published = before.get(name, {}).get("content") == staged.content
+        done[name] = not published or not path_exists(spark, path)
+        if done[name] and output.order:
             staged.write(path, parts)
-    if any(done.values()) or before.keys() != entries.keys():
-        write_manifest(spark, entries, data_through, folder, moment)
+        elif done[name]:
+            staged.write_document(path)
+    if any(done.values()) or before != entries:
+        write_manifest(spark, entries, data_through(entries), folder, moment)
     return done
 
 

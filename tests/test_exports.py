@@ -166,8 +166,11 @@ def test_only_changed_tables_are_published(spark, tmp_path):
         return frame.mapInArrow(see, frame.schema)
 
     def publish(days, numbers, **more):
-        tables = {"days": (watched(days), "date"), "numbers": (watched(numbers), ["id"])}
-        return exports.publish(spark, tables, folder, "2024-12-31", **more)
+        outputs = {
+            "days": exports.Output(watched(days), ["date"], exports.timeline_metrics("date")),
+            "numbers": exports.Output(watched(numbers), ["id"]),
+        }
+        return exports.publish(spark, outputs, folder, lambda t: t["days"]["max_date"], **more)
 
     days, numbers = timeline_frame(spark, range(40)), spark.range(10).toDF("id")
     early = datetime(2025, 1, 1, tzinfo=timezone.utc)
@@ -186,8 +189,12 @@ def test_only_changed_tables_are_published(spark, tmp_path):
     with pytest.raises(ValueError, match="repeats"):
         publish(days, numbers.union(numbers))
     assert publish(days, numbers.filter("id < 9")) == {"days": False, "numbers": False}
-    only = {"days": (days, "date")}
-    assert exports.publish(spark, only, folder, "2024-12-31") == {"days": False}
+    found = exports.read_manifest(spark, folder)
+    assert found["data_through"] == found["tables"]["days"]["max_date"] == "1998-12-28"
+    only = {"days": exports.Output(days, ["date"])}
+    assert exports.publish(spark, only, folder, lambda _: "2024-12-31") == {"days": False}
+    with pytest.raises(ValueError, match="found 9"):
+        exports.publish(spark, {"page": exports.Output(numbers.filter("id < 9"))}, folder, lambda _: "")
     assert set(exports.read_manifest(spark, folder)["tables"]) == {"days"}
 
 

@@ -70,6 +70,9 @@ def test_all_stages(spark, tmp_path):
     assert len(status["regime_history"]) == tables["diesel_status"]["regime_segments"]
     assert loaded["manifest"]["tables"] == tables
     assert loaded["manifest"]["data_through"] == loaded["price_timeline"][-1]["date"]
+    written = {p.name: p.stat().st_mtime_ns for p in exports.glob("*.json")}
+    assert medallion.export_all(spark, catalog) == tables
+    assert {p.name: p.stat().st_mtime_ns for p in exports.glob("*.json")} == written
     best = [r for r in loaded["wti_diesel_lag"] if r["is_optimal"]]
     assert best[0]["lag_days"] == tables["wti_diesel_lag"]["optimal_lag_days"]
 

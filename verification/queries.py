@@ -362,10 +362,14 @@ def publish_on_change(spark: SparkSession, folder: str) -> DataFrame:
     turns = [(gold, every), (gold.repartition(3), every.repartition(5)), (gold, every.withColumn("value", doubled))]
     rows = []
     for turn, (days, values) in enumerate(turns, 1):
-        tables = {"price_timeline": (days, "date"), "events": (values, "event_id")}
-        done = exports.publish(spark, tables, path, "2024-06-30", BATCH, parts=True)
+        outputs = {
+            "price_timeline": exports.Output(days, ["date"], exports.timeline_metrics("date")),
+            "events": exports.Output(values, ["event_id"]),
+        }
+        through = lambda tables: tables["price_timeline"]["max_date"]
+        done = exports.publish(spark, outputs, path, through, BATCH, parts=True)
         listed = exports.read_manifest(spark, path)["tables"]
-        rows += [(turn, name, done[name], listed[name]["rows"]) for name in tables]
+        rows += [(turn, name, done[name], listed[name]["rows"]) for name in outputs]
     found = spark.createDataFrame(rows, "turn int, table string, published boolean, rows long")
     back = exports.read_array(spark, f"{path}/events.json", every.schema).drop("_corrupt_record")
     total = back.agg(F.lit("events").alias("table"), F.round(F.sum("value"), 2).alias("total"))
