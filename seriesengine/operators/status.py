@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesengine.functions.labels import context_clause, event_key, regime
@@ -64,33 +66,39 @@ def rejected_series(series: Series, rules: StatusRules | None = None) -> DataFra
     )
 
 
-def _stored_features(series: Series, rules: StatusRules) -> DataFrame:
+def _features(series: Series, rules: StatusRules) -> DataFrame:
+    """Features of the series that are long enough, stored where they are read twice."""
     check_status_input(series, rules)
-    long_enough = features(series, rules).filter(F.col(ROWS) >= rules.min_rows)
-    return materialize(long_enough, "features")[0]
+    rows = features(series, rules).filter(F.col(ROWS) >= rules.min_rows)
+    return rows if series.one_chunk else materialize(rows, "features")[0]
 
 
-def _latest(rows: DataFrame, keys: tuple[str, ...], rules: StatusRules) -> DataFrame:
-    """One row per series: its last state and the prices it is compared with."""
+def _looked_back(rules: StatusRules) -> dict[str, Column]:
+    """The last state of a series and the prices it is compared with, as aggregates."""
     from_end = F.col(ROWS) - 1 - F.col(POS)
-    wanted = (0, rules.week_rows, rules.year_rows)
 
     def back(offset: int, column: str) -> Column:
         return F.max(F.when(from_end == offset, F.col(column)))
 
-    return (
-        rows.filter(from_end.isin(*wanted))
-        .groupBy(*keys, ROWS)
-        .agg(
-            back(0, DATE).alias("as_of"),
-            back(0, SLOW).alias("now_price"),
-            back(0, VOLATILITY).alias("now_vol"),
-            back(0, VOLATILITY_UNITS).alias("now_vol_units"),
-            back(0, MOMENTUM).alias("now_mom"),
-            back(rules.week_rows, SLOW).alias("week_price"),
-            back(rules.year_rows, SLOW).alias("year_price"),
-        )
-    )
+    return {
+        "as_of": back(0, DATE),
+        "now_price": back(0, SLOW),
+        "now_vol": back(0, VOLATILITY),
+        "now_vol_units": back(0, VOLATILITY_UNITS),
+        "now_mom": back(0, MOMENTUM),
+        "week_price": back(rules.week_rows, SLOW),
+        "year_price": back(rules.year_rows, SLOW),
+    }
+
+
+def _moments(rules: StatusRules) -> dict[str, Column]:
+    """Means and deviations of the rows that an analogue may be found among, as aggregates."""
+    candidate = F.col(POS) < F.col(ROWS) - rules.analogue_exclusion
+    found = {}
+    for name, column in _MEASURES.items():
+        value = F.when(candidate, F.col(column))
+        found |= {f"{name}_mean": F.avg(value), f"{name}_std": F.stddev_pop(value)}
+    return found
 
 
 def _beside_rows(
@@ -101,33 +109,38 @@ def _beside_rows(
     return rows.withColumn(CHUNK, chunk_of(F.col(POS), layout)).join(state, [*keys, CHUNK])
 
 
-def _state(
-    rows: DataFrame, keys: tuple[str, ...], layout: Layout, rules: StatusRules
-) -> DataFrame:
-    """Latest state plus everything counted or averaged against it, in one pass."""
-    latest = _latest(rows, keys, rules)
-    now = [c for c in latest.columns if c not in keys]
+def _state(rows: DataFrame, series: Series, rules: StatusRules, nearest: bool = False) -> DataFrame:
+    """Latest state plus everything counted or averaged against it, one row per series.
+
+    Where every series is one chunk, the last state and the moments are windows over the
+    series, so all of it, with ``nearest`` the nearest earlier row too, comes out of one
+    shuffle. Otherwise the last states are found first and put beside each row, and the
+    nearest rows are found afterwards, by the moments.
+    """
+    keys = series.keys
+    looked_back, moments = _looked_back(rules), _moments(rules)
     below = F.col(SLOW) < F.col("now_price")
     recent = F.col(POS) >= F.col(ROWS) - rules.rolling_rows
-    candidate = F.col(POS) < F.col(ROWS) - rules.analogue_exclusion
-    moments = []
-    for name, column in _MEASURES.items():
-        value = F.when(candidate, F.col(column))
-        moments += [
-            F.avg(value).alias(f"{name}_mean"),
-            F.stddev_pop(value).alias(f"{name}_std"),
-        ]
-    counted = (
-        _beside_rows(rows, latest, keys, layout)
-        .groupBy(*keys, *now)
-        .agg(
-            F.count_if(below).alias("_below"),
-            F.count_if(below & recent).alias("_below_recent"),
-            F.count_if(F.col(VOLATILITY_UNITS) < F.col("now_vol_units")).alias("_below_vol"),
-            F.count(VOLATILITY).alias("_vols"),
-            *moments,
-        )
-    )
+    counts = {
+        "_below": F.count_if(below),
+        "_below_recent": F.count_if(below & recent),
+        "_below_vol": F.count_if(F.col(VOLATILITY_UNITS) < F.col("now_vol_units")),
+        "_vols": F.count(VOLATILITY),
+    }
+    if series.one_chunk:
+        whole = Window.partitionBy(*keys)
+        beside = rows.withColumns({n: c.over(whole) for n, c in (looked_back | moments).items()})
+        groups = [ROWS, *looked_back, *moments]
+        if nearest:
+            counts["_nearest"] = F.min(F.when(_comparable(rules), F.struct(_distance(), DATE, SLOW)))
+    else:
+        wanted = (0, rules.week_rows, rules.year_rows)
+        few = rows.filter((F.col(ROWS) - 1 - F.col(POS)).isin(*wanted))
+        latest = few.groupBy(*keys, ROWS).agg(*[c.alias(n) for n, c in looked_back.items()])
+        beside = _beside_rows(rows, latest, keys, series.layout)
+        groups = [ROWS, *looked_back]
+        counts |= moments
+    counted = beside.groupBy(*keys, *groups).agg(*[c.alias(n) for n, c in counts.items()])
     rows_recent = F.least(F.col(ROWS), F.lit(rules.rolling_rows))
 
     def change(base: str, offset: int) -> Column:
@@ -135,7 +148,7 @@ def _state(
             F.col(ROWS) > offset, diff_change_pct(F.col("now_price"), F.col(base))
         ).otherwise(F.lit(0.0))
 
-    return counted.withColumns(
+    state = counted.withColumns(
         {
             "percentile_all": share_pct(F.col("_below"), F.col(ROWS)),
             "percentile_rolling": share_pct(F.col("_below_recent"), rows_recent),
@@ -146,6 +159,37 @@ def _state(
             "year_change": change("year_price", rules.year_rows),
         }
     ).withColumn("regime", regime(F.col("percentile_rolling"), F.col("volatility_rank")))
+    if not nearest or series.one_chunk:
+        return state
+    # Read twice below; one row per series.
+    state, _ = materialize(state, "state")
+    found = (
+        _beside_rows(rows, state.select(*keys, ROWS, "now_price", "now_vol", "now_mom", *moments), keys, series.layout)
+        .filter(_comparable(rules))
+        .groupBy(*keys)
+        .agg(F.min(F.struct(_distance(), DATE, SLOW)).alias("_nearest"))
+    )
+    return state.join(found, list(keys), "left")
+
+
+def _comparable(rules: StatusRules) -> Column:
+    """Whether a row may be the analogue of its series' last state."""
+    cutoff = F.col(ROWS) - rules.analogue_exclusion
+    whole = [F.col(c).isNotNull() for c in ("now_mom", VOLATILITY, MOMENTUM)]
+    return reduce(Column.__and__, whole, (cutoff > rules.momentum_rows) & (F.col(POS) < cutoff)) & (
+        _distance().isNotNull()
+    )
+
+
+def _distance() -> Column:
+    """Distance of a row from the last state in z-scored price, volatility and momentum,
+    by the moments of the candidates."""
+    squares = F.lit(0.0)
+    for name, column in _MEASURES.items():
+        mean, std = F.col(f"{name}_mean"), F.col(f"{name}_std")
+        gap = zscore(F.col(column), mean, std) - zscore(F.col(f"now_{name}"), mean, std)
+        squares = squares + gap * gap
+    return F.round(F.sqrt(squares), DISTANCE_DIGITS).alias("_distance")
 
 
 def _kpi_columns() -> list[Column]:
@@ -163,8 +207,8 @@ def _kpi_columns() -> list[Column]:
 def status_kpis(series: Series, rules: StatusRules | None = None) -> DataFrame:
     """Current price, its changes and its percentiles, one row per series."""
     rules = rules or StatusRules()
-    rows = _stored_features(series, rules)
-    state = _state(rows, series.keys, series.layout, rules)
+    rows = _features(series, rules)
+    state = _state(rows, series, rules)
     return public(state.select(*series.keys, *_kpi_columns()), series.keys)
 
 
@@ -192,47 +236,20 @@ def sparkline(series: Series, rules: StatusRules | None = None) -> DataFrame:
     return public(_sparkline(series.frame, series.keys, rules), series.keys)
 
 
-def _analogue(
-    rows: DataFrame,
-    state: DataFrame,
-    keys: tuple[str, ...],
-    layout: Layout,
-    rules: StatusRules,
-    periods: DataFrame | None = None,
-) -> DataFrame:
-    """Nearest earlier row in z-scored price, volatility and momentum.
+def _analogue_columns() -> list[Column]:
+    return [
+        F.col(f"_nearest.{DATE}").cast("string").alias("week"),
+        round_even(F.col(f"_nearest.{SLOW}"), 3).alias("price_then"),
+        round_even(1 / (1 + F.col("_nearest._distance")), 3).alias("similarity_score"),
+    ]
 
-    Means and deviations are those of the candidates. Series without a candidate
-    have no row.
-    """
-    cutoff = F.col(ROWS) - rules.analogue_exclusion
-    reference = state.select(
-        *keys, ROWS, *[f"{n}_{s}" for n in _MEASURES for s in ("mean", "std")],
-        *[f"now_{n}" for n in _MEASURES],
-    ).filter((cutoff > rules.momentum_rows) & F.col("now_mom").isNotNull())
-    candidates = _beside_rows(rows, reference, keys, layout).filter(
-        (F.col(POS) < cutoff) & F.col(VOLATILITY).isNotNull() & F.col(MOMENTUM).isNotNull()
-    )
 
-    squares = F.lit(0.0)
-    for name, column in _MEASURES.items():
-        mean, std = F.col(f"{name}_mean"), F.col(f"{name}_std")
-        gap = zscore(F.col(column), mean, std) - zscore(F.col(f"now_{name}"), mean, std)
-        squares = squares + gap * gap
-    distance = F.round(F.sqrt(squares), DISTANCE_DIGITS)
-    nearest = (
-        candidates.withColumn("_distance", distance)
-        .filter(F.col("_distance").isNotNull())
-        .groupBy(*keys)
-        .agg(F.min(F.struct("_distance", DATE, SLOW)).alias("_nearest"))
-    )
-    day = F.col(f"_nearest.{DATE}")
-    found = nearest.select(
+def _analogue(state: DataFrame, keys: tuple[str, ...], periods: DataFrame | None = None) -> DataFrame:
+    """The nearest row of each state that has one, and the named event of its day."""
+    found = state.filter("_nearest IS NOT NULL").select(
         *keys,
-        day.alias("_day"),
-        day.cast("string").alias("week"),
-        round_even(F.col(f"_nearest.{SLOW}"), 3).alias("price_then"),
-        round_even(1 / (1 + F.col("_nearest._distance")), 3).alias("similarity_score"),
+        F.col(f"_nearest.{DATE}").alias("_day"),
+        *_analogue_columns(),
     )
     if periods is None:
         return found.withColumn("narrative_key", event_key(F.col("_day"))).drop("_day")
@@ -245,9 +262,8 @@ def historical_analogue(
     """Closest earlier state of each series that has one, with the named event of its day;
     ``periods`` (``first, last, key``) replace the known events."""
     rules = rules or StatusRules()
-    rows = _stored_features(series, rules)
-    state = _state(rows, series.keys, series.layout, rules)
-    return public(_analogue(rows, state, series.keys, series.layout, rules, periods), series.keys)
+    state = _state(_features(series, rules), series, rules, nearest=True)
+    return public(_analogue(state, series.keys, periods), series.keys)
 
 
 def status_counts(series: Series, rules: StatusRules | None = None) -> DataFrame:
@@ -256,7 +272,7 @@ def status_counts(series: Series, rules: StatusRules | None = None) -> DataFrame
     rules = rules or StatusRules()
     check_status_input(series, rules)
     rows = stored_states(series, rules)
-    state = _state(rows.drop("regime"), series.keys, series.layout, rules)
+    state = _state(rows.drop("regime"), series, rules)
     segments = segments_of(rows, series).groupBy(*series.keys).agg(F.count("*").alias("regime_segments"))
     counted = state.join(segments, list(series.keys), "left").select(
         *series.keys,
@@ -268,27 +284,26 @@ def status_counts(series: Series, rules: StatusRules | None = None) -> DataFrame
 
 
 def _snapshot(rows: DataFrame, series: Series, rules: StatusRules) -> DataFrame:
-    # Read twice below; one row per series.
-    state, _ = materialize(_state(rows, series.keys, series.layout, rules), "state")
-    analogue = _analogue(rows, state, series.keys, series.layout, rules)
     clause = context_clause(
         F.col("regime"), F.col("percentile_all"), F.col("year_change"), F.col("volatility_rank")
     )
-    flat = state.select(
+    day = F.col(f"_nearest.{DATE}")
+    return _state(rows, series, rules, nearest=True).select(
         *series.keys,
         *_kpi_columns(),
         fixed_text(F.col("now_price"), 2).alias("headline_price"),
         fixed_text(F.col("percentile_all"), 1).alias("headline_pct"),
         signed_whole_text(F.col("year_change")).alias("headline_yoy"),
         clause.alias("context_clause_key"),
+        *_analogue_columns(),
+        event_key(day).alias("narrative_key"),
     )
-    return flat.join(analogue, list(series.keys), "left")
 
 
 def status_snapshot(series: Series, rules: StatusRules | None = None) -> DataFrame:
     """Flat status, one row per series: indicators, headline texts, analogue."""
     rules = rules or StatusRules()
-    return public(_snapshot(_stored_features(series, rules), series, rules), series.keys)
+    return public(_snapshot(_features(series, rules), series, rules), series.keys)
 
 
 def status_document(series: Series, rules: StatusRules | None = None) -> DataFrame:

@@ -94,3 +94,12 @@ def test_ranks_add_no_shuffle_to_the_windows_they_follow(series):
     plan = plan_of(regime.regime_daily(index_series(series.frame.select("date", "diesel_usd_gal"))))
     assert plan.count("Exchange") == 1
     assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+
+
+@pytest.mark.parametrize("operator", [status.status_snapshot, status.status_kpis, status.historical_analogue])
+def test_status_of_short_series_is_one_shuffle(series, operator):
+    short = index_series(series.frame.select("date", "diesel_usd_gal"))
+    assert short.one_chunk
+    plan = plan_of(operator(short))
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+    assert "Join" not in plan
