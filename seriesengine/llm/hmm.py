@@ -7,9 +7,9 @@ the word's count in training and M the sum of (c + 0.5) over the class; each sha
 class keeps 0.5 for words that training has not seen.
 
 Counts of words are collected over all training texts. Baum-Welch counts are summed
-per task in numpy and over tasks in Spark; a pass covers all training texts. Only the
-starting point comes from a bounded sample. Scores are exact: the scaled forward
-recursion runs over the whole text.
+per task in numpy and over tasks in Spark; every pass covers all training texts, and no
+part of the model comes from a sample. Scores are exact: the scaled forward recursion
+runs over the whole text.
 
 Frequent words, at most ``head_words`` of them, go to all tasks; the others are joined
 by word, and none of those is frequent enough to be hot.
@@ -38,10 +38,10 @@ HELD_OUT = 1
 class Settings:
     """Sizes of the model and of the training.
 
-    ``passes``: Baum-Welch passes over all training texts, after ``start_rounds`` rounds
-    over at most ``start_docs`` documents of at most ``start_tokens`` tokens each, which
-    only choose the starting point. ``segment``: tokens of a training sequence; longer
-    texts are several sequences.
+    ``start_rounds`` and ``passes``: Baum-Welch passes, one after the other, the former to
+    leave the random first model; each covers all training texts. ``segment``: tokens of a
+    training sequence; longer texts are several sequences. ``start_tokens`` bounded texts of
+    a sample that the start once came from; it may still be given and has no effect.
     """
 
     states: int = 8
@@ -51,7 +51,6 @@ class Settings:
     suffix: int = 3
     passes: int = 2
     start_rounds: int = 12
-    start_docs: int = 1500
     start_tokens: int = 20_000
     segment: int = 512
     smoothing: float = 200.0
@@ -60,8 +59,11 @@ class Settings:
 
 SETTINGS = Settings()
 
-# Tokens whose recursions are held in memory at a time.
-_CHUNK_TOKENS = 200_000
+# Tokens whose recursions are held in memory at a time, in training.
+_CHUNK_TOKENS = 1 << 18
+
+# Tokens that are scored side by side; only one step of their recursions is held.
+_SCORE_TOKENS = 1 << 23
 
 # Texts whose words are held in memory at a time.
 _ROWS = 2048
@@ -108,48 +110,77 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _time_major(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes step by step, the number of sequences at each step, and the order used."""
-    sizes = np.array([len(s) for s in sequences])
-    order = np.argsort(-sizes, kind="stable")
-    sizes = sizes[order]
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-    steps = np.repeat(np.arange(sizes[0]), active)
-    places = np.arange(active.sum()) - np.repeat(np.cumsum(active) - active, active)
-    starts = np.cumsum(sizes) - sizes
-    flat = np.concatenate([sequences[i] for i in order])
-    return flat[starts[places] + steps], active, order
-
-
-def _chunks(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-    chunk, held = [], 0
-    for sequence in sequences:
-        if chunk and held + len(sequence) > _CHUNK_TOKENS:
-            yield chunk
-            chunk, held = [], 0
-        chunk.append(sequence)
-        held += len(sequence)
-    if chunk:
-        yield chunk
+@dataclass
+class Runs:
+    """Sequences as runs of one array of codes, longest first; ``order``: their old places."""
+
+    codes: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    order: np.ndarray
+
+    @classmethod
+    def of(cls, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Runs:
+        order = np.argsort(-sizes, kind="stable")
+        return cls(codes, starts[order], sizes[order], order)
+
+    @classmethod
+    def of_arrays(cls, sequences: list[np.ndarray]) -> Runs:
+        sizes = np.array([len(s) for s in sequences], np.int64)
+        codes = np.concatenate(sequences) if sequences else np.zeros(0, "<u2")
+        return cls.of(codes, np.cumsum(sizes) - sizes, sizes)
+
+    @classmethod
+    def of_texts(cls, texts: pa.Array, segment: int | None = None) -> Runs:
+        """Runs of a column of encoded texts, cut into segments if ``segment`` is given."""
+        if not len(texts):
+            return cls.of_arrays([])
+        texts = texts.cast(pa.large_binary())
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] // 2
+        codes = np.frombuffer(data, "<u2", count=ends[-1])
+        starts, sizes = ends[:-1], np.diff(ends)
+        if segment:
+            parts = -(-sizes // segment)
+            number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            stops = np.repeat(ends[1:], parts)
+            starts = np.repeat(starts, parts) + number * segment
+            sizes = np.minimum(stops - starts, segment)
+        return cls.of(codes, starts, sizes)
+
+    def chunks(self, tokens: int) -> Iterator[Runs]:
+        """Neighbours of at most ``tokens`` tokens together, or one longer sequence."""
+        ends = np.cumsum(self.sizes)
+        at = 0
+        while at < len(ends):
+            before = ends[at] - self.sizes[at]
+            stop = max(at + 1, int(np.searchsorted(ends, before + tokens, side="right")))
+            yield Runs(self.codes, self.starts[at:stop], self.sizes[at:stop], self.order[at:stop])
+            at = stop
+
+    def active(self) -> list[int]:
+        """The number of sequences at each step."""
+        return np.searchsorted(-self.sizes, -np.arange(self.sizes[0]), side="left").tolist()
 
 
 def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural log of P(class sequence) of each, by the scaled forward recursion."""
-    out = np.zeros(len(sequences))
-    done = 0
-    for chunk in _chunks(sequences):
-        codes, active, order = _time_major(chunk)
-        total = np.zeros(len(chunk))
-        at, alpha = 0, None
-        for n in active:
-            emitted = model.emit[codes[at : at + n]]
+    return _log_likelihoods(model, Runs.of_arrays(sequences))
+
+
+def _log_likelihoods(model: Model, runs: Runs) -> np.ndarray:
+    out = np.zeros(len(runs.sizes))
+    ones = np.ones((len(model.start), len(model.start)))
+    for chunk in runs.chunks(_SCORE_TOKENS):
+        total = np.zeros(len(chunk.sizes))
+        alpha = None
+        for step, n in enumerate(chunk.active()):
+            emitted = model.emit.take(chunk.codes.take(chunk.starts[:n] + step), axis=0)
             alpha = emitted * (model.start if alpha is None else alpha[:n] @ model.move)
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
-            total[:n] += np.log(scale)
-            at += n
-        out[done + order] = total
-        done += len(chunk)
+            scale = alpha @ ones
+            alpha /= scale
+            total[:n] += np.log(scale[:, 0])
+        out[chunk.order] = total
     return out
 
 
@@ -161,42 +192,55 @@ class Counts:
         self.move = np.zeros((states, states))
         self.emit = np.zeros((classes, states))
         self.log_likelihood = 0.0
+        # Used again by every chunk: fresh memory costs more than what is computed in it.
+        self._room = np.empty((2, 0, states))
 
     def add(self, model: Model, sequences: list[np.ndarray]) -> None:
-        for chunk in _chunks(sequences):
+        self.add_runs(model, Runs.of_arrays(sequences))
+
+    def add_runs(self, model: Model, runs: Runs) -> None:
+        for chunk in runs.chunks(_CHUNK_TOKENS):
             self._add_chunk(model, chunk)
 
-    def _add_chunk(self, model: Model, sequences: list[np.ndarray]) -> None:
-        codes, active, _ = _time_major(sequences)
-        begins = np.cumsum(active) - active
-        emitted = model.emit[codes]
-        alphas = np.empty_like(emitted)
-        scales = np.empty(len(codes))
+    def _add_chunk(self, model: Model, runs: Runs) -> None:
+        tokens, k = int(runs.sizes.sum()), len(model.start)
+        if tokens > self._room.shape[1]:
+            self._room = np.empty((2, max(tokens, _CHUNK_TOKENS), k))
+        alphas, emitted = self._room[:, :tokens]
+        codes = np.empty(tokens, np.intp)
+        active = runs.active()
+        begins = (np.cumsum(active) - active).tolist()
+        # A sum over states that comes once per state is divided by without broadcasting.
+        ones = np.ones((k, k))
         alpha = None
-        for at, n in zip(begins, active, strict=True):
-            alpha = emitted[at : at + n] * (model.start if alpha is None else alpha[:n] @ model.move)
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
-            alphas[at : at + n], scales[at : at + n] = alpha, scale
-        self.log_likelihood += float(np.log(scales).sum())
+        for step, (at, n) in enumerate(zip(begins, active, strict=True)):
+            code = codes[at : at + n]
+            code[:] = runs.codes.take(runs.starts[:n] + step)
+            own = model.emit.take(code, axis=0, out=emitted[at : at + n], mode="clip")
+            alpha = own * (model.start if alpha is None else alpha[:n] @ model.move)
+            scale = alpha @ ones
+            own /= scale
+            alpha = np.divide(alpha, scale, out=alphas[at : at + n])
+            self.log_likelihood += float(np.log(scale[:, 0]).sum())
 
         back = model.move.T.copy()
         moved = np.zeros_like(model.move)
-        beta = np.ones((0, len(model.start)))
+        beta = np.ones((0, k))
         for step in range(len(active) - 1, -1, -1):
-            at, n = begins[step], active[step]
-            own = np.ones((n, len(model.start)))
-            own[: len(beta)] = beta
-            weighted = emitted[at : at + n] * own / scales[at : at + n, None]
+            at, n, longer = begins[step], active[step], len(beta)
+            # The alphas are not needed any more: they become the state posteriors.
+            alphas[at : at + longer] *= beta
             if step:
+                weighted = emitted[at : at + n]
+                weighted[:longer] *= beta
                 moved += alphas[begins[step - 1] :][:n].T @ weighted
                 beta = weighted @ back
-            # The alphas are not needed any more: they become the state posteriors.
-            alphas[at : at + n] *= own
         self.move += moved * model.move
         self.start += alphas[: active[0]].sum(axis=0)
-        for state in range(alphas.shape[1]):
-            self.emit[:, state] += np.bincount(codes, alphas[:, state], len(self.emit))
+        by_state = emitted.reshape(k, tokens)
+        by_state[:] = alphas.T
+        for state, posterior in enumerate(by_state):
+            self.emit[:, state] += np.bincount(codes, posterior, len(self.emit))
 
 
 def reestimated(model: Model, counts: Counts, smoothing: float) -> Model:
@@ -223,11 +267,6 @@ def first_model(mass: np.ndarray, settings: Settings) -> Model:
     return Model(np.full(k, 1 / k), move, emit / emit.sum(axis=0), mass)
 
 
-def _segments(texts: list[bytes], size: int) -> list[np.ndarray]:
-    codes = [np.frombuffer(t, "<u2") for t in texts]
-    return [c[at : at + size] for c in codes for at in range(0, len(c), size)]
-
-
 def _pass_over(encoded: DataFrame, model: Model, settings: Settings) -> Counts:
     """Baum-Welch counts of all training texts."""
     k, classes = settings.states, len(model.mass)
@@ -236,9 +275,7 @@ def _pass_over(encoded: DataFrame, model: Model, settings: Settings) -> Counts:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(classes, k)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                texts = batch.column(0).slice(at, 1024).to_pylist()
-                counts.add(model, _segments(texts, settings.segment))
+            counts.add_runs(model, Runs.of_texts(batch.column(0), settings.segment))
         used = np.flatnonzero(counts.emit.any(axis=1))
         scale = np.zeros(k)
         scale[0] = counts.log_likelihood
@@ -382,13 +419,12 @@ def scores(docs: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     )
     model = _trained(encoded, model, settings)
 
-    log_mass = np.log10(model.mass)
+    # Emissions per unit of a class's mass; a word has c + 0.5 of them.
+    shares = Model(model.start, model.move, model.emit / model.mass[:, None], model.mass)
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [np.frombuffer(t, "<u2") for t in batch.column(1).to_pylist()]
-            logs = log_likelihoods(model, texts) / np.log(10) if texts else np.zeros(0)
-            logs = logs - np.array([log_mass[t].sum() for t in texts])
+            logs = _log_likelihoods(shares, Runs.of_texts(batch.column(1))) / np.log(10)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(logs), *batch.columns[2:]],
                 names=["row", "log_classes", "doc_id", "held_out", "n_tokens", "head_log", "head_known"],
@@ -454,27 +490,7 @@ def _classes(
 
 
 def _trained(encoded: DataFrame, model: Model, settings: Settings) -> Model:
-    """Rounds over the starting sample, then passes over all training texts.
-
-    The sample has runs of at most ``start_tokens`` tokens, from a place in the text that
-    a hash draws, of ``start_docs`` texts of any length. The passes run in any case.
-    """
-    tokens = F.floor(F.length("codes") / 2)
-    places = F.greatest(tokens - settings.start_tokens, F.lit(0)) + 1
-    at = F.pmod(F.xxhash64("doc_id", "row", F.lit("start")), places)
-    run = F.substring(F.col("codes"), (2 * at + 1).cast("int"), F.lit(2 * settings.start_tokens))
-    sample = (
-        encoded.filter("NOT held_out")
-        .orderBy(F.xxhash64("doc_id"), "row")
-        .limit(settings.start_docs)
-        .select(run.alias("codes"))
-        .toArrow()
-    )
-    sequences = _segments(sample.column("codes").to_pylist(), settings.segment)
-    for _ in range(settings.start_rounds if sequences else 0):
-        counts = Counts(len(model.mass), settings.states)
-        counts.add(model, sequences)
-        model = reestimated(model, counts, settings.smoothing)
-    for _ in range(settings.passes):
+    """The model after all passes, each of which covers all training texts."""
+    for _ in range(settings.start_rounds + settings.passes):
         model = reestimated(model, _pass_over(encoded, model, settings), settings.smoothing)
     return model

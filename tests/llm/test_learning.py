@@ -113,6 +113,36 @@ def test_states_help_on_held_out_texts(spark):
     assert gain > 0.2
 
 
+def test_every_pass_covers_all_training_texts(spark):
+    """Many texts and a long one: passes over all of them by hand give the same scores."""
+    settings = hmm.Settings(states=2, own_classes=12, shared_classes=3, start_rounds=3, passes=1, segment=64, smoothing=2.0)
+    rng = random.Random(5)
+    sides = [rng.choices(range(8), range(1, 9), k=rng.randrange(4, 16)) for _ in range(2400)]
+    sides[1] = [i % 8 for i in range(25_000)]
+    rows = [(i, " ".join(f"w{(w + 4 * (i > 2000)) % 12}" for w in side)) for i, side in enumerate(sides)]
+    trains = [text.split() for i, text in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert len(trains) > 1500 and max(map(len, trains)) > 20_000
+    counts = collections.Counter(w for words in trains for w in words)
+    class_of = {w: n for n, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w)))}
+    mass = np.full(12 + 1 + 3, 0.5)
+    mass[: len(class_of)] = [counts[w] + 0.5 for w in class_of]
+    mass[12] = len(trains) + 0.5
+
+    model = hmm.first_model(mass, settings)
+    codes = [np.array([class_of[w] for w in words] + [12], np.uint16) for words in trains]
+    segments = [c[at : at + 64] for c in codes for at in range(0, len(c), 64)]
+    for _ in range(4):
+        expected = hmm.Counts(len(mass), 2)
+        expected.add(model, segments)
+        model = hmm.reestimated(model, expected, settings.smoothing)
+    texts = [np.array([class_of[w] for w in text.split()] + [12], np.uint16) for _, text in rows]
+    logs = hmm.log_likelihoods(model, texts) / math.log(10)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.score for r in hmm.scores(docs, settings).collect()}
+    assert [found[i] for i, _ in rows] == pytest.approx(list(logs), rel=1e-9)
+
+
 def toxic_rows(rng, n):
     calm = [f"word{i}" for i in range(300)]
     for i in range(n):
